@@ -9,9 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.operators.sequence import boundary_groups
-from linewise.operators.summary import grand_total, top_k, total_per
+from linewise.functions import intervals as iv
+from linewise.functions.parse import char_at, chars, delimited_ints, fixed_width, ints_at, split_half
+from linewise.functions.recode import letter_weight, recode
+from linewise.functions.rules import match_points, needed_result, required_move, result_points
+from linewise.functions.sets import (common_by_difference, common_elements, first_common,
+                                     joined_sorted, letters_only)
+from linewise.functions.udf_forms import overlap_label_udf, required_move_udf
+from linewise.operators.columns import drop_columns, prefix_columns, rename_columns
+from linewise.operators.group_sets import group_common_elements
+from linewise.operators.lookup import recode_join
+from linewise.operators.reshape import unpivot_long, unpivot_totals
+from linewise.operators.sequence import batch_rows, boundary_groups
+from linewise.operators.summary import count_per, grand_total, top_k, total_per
 from linewise.plans.tables import load
+from linewise.session import scratch_path
+from linewise.sources.text import read_lines, read_records, record_groups, write_lines
 
 
 # ---------------------------------------------------------------- boundary groups
@@ -38,8 +51,342 @@ def q03_top_groups_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grand_total(top, "total_cents", out="top3_total_cents")
 
 
+# ---------------------------------------------------------------- code pairs and rule tables
+# Query parameters: the order status plays the opponent's code and the first
+# character of the priority plays my code.  Priorities 4 and 5 have no move.
+OPPONENT_POINTS = {"F": 1, "O": 2, "P": 3}
+MY_POINTS = {"1": 1, "2": 2, "3": 3}
+
+
+def _code_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    code = F.concat(F.col("o_orderstatus"), F.lit(" "), F.substring("o_orderpriority", 1, 1))
+    parsed = orders.select("o_orderkey", char_at(code, 0).alias("opponent"), char_at(code, 2).alias("mine"))
+    return parsed.select(
+        "o_orderkey", "opponent", "mine",
+        recode("opponent", OPPONENT_POINTS).alias("opponent_points"),
+        recode("mine", MY_POINTS).alias("my_points"),
+    )
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _code_pairs(spark, sf_dir)
+    scored = pairs.withColumn("match_points", match_points(F.col("my_points"), F.col("opponent_points")))
+    return scored.withColumn("total_points", F.col("match_points") + F.col("my_points"))
+
+
+def q04_code_pair_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir)
+
+
+def q05_score_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grand_total(_scored(spark, sf_dir), "total_points", out="score_total")
+
+
+def _dependent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _code_pairs(spark, sf_dir)
+    needed = needed_result(F.col("my_points"))
+    return pairs.select(
+        "o_orderkey", "opponent_points", "my_points",
+        needed.alias("needed_result"),
+        result_points(needed).alias("new_points"),
+        (F.col("my_points") - F.col("opponent_points")).alias("point_dif"),
+    )
+
+
+def q06_dependent_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _dependent(spark, sf_dir)
+    d = d.withColumn("new_play", required_move(F.col("needed_result"), F.col("opponent_points"),
+                                               F.col("my_points")))
+    return d.select("o_orderkey", "needed_result", "new_points", "point_dif", "new_play",
+                    (F.col("new_play") + F.col("new_points")).alias("new_total_points"))
+
+
+def q07_udf_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _dependent(spark, sf_dir)
+    d = d.withColumn("new_play", required_move_udf("needed_result", "opponent_points", "my_points",
+                                                   "point_dif"))
+    return d.select("o_orderkey", "needed_result", "new_points", "point_dif", "new_play",
+                    (F.col("new_play") + F.col("new_points")).alias("new_total_points"))
+
+
+# Query parameters: three market segments get a short label, the rest "Unknown".
+SEGMENT_LABELS = {"AUTOMOBILE": "auto", "BUILDING": "building", "MACHINERY": "machinery"}
+
+
+def q08_recode_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = load(spark, sf_dir, "customer").select("c_mktsegment")
+    labelled = customers.select(recode("c_mktsegment", SEGMENT_LABELS, default="Unknown").alias("segment_label"))
+    return count_per(labelled, "segment_label", out="n_customers")
+
+
+# ---------------------------------------------------------------- array sets over text
+
+def _halves(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", *extra)
+    first, second = split_half("text")
+    return docs.select("doc_id", *extra, chars(first).alias("first_half"), chars(second).alias("second_half"))
+
+
+def _half_common(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    halves = _halves(spark, sf_dir, extra)
+    common = F.sort_array(letters_only(common_elements("first_half", "second_half")))
+    return halves.select("doc_id", *extra, common.alias("common"))
+
+
+def q09_half_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _half_common(spark, sf_dir)
+    return c.select("doc_id", F.size("common").alias("n_common"), first_common("common").alias("first_common"))
+
+
+def q10_half_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _half_common(spark, sf_dir, extra=("lang",))
+    weighted = c.select("lang", letter_weight(first_common("common")).alias("weight"))
+    return weighted.groupBy("lang").agg(
+        F.sum("weight").alias("total_weight"),
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count("weight").alias("n_weighted"),
+    )
+
+
+def q11_except_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    halves = _halves(spark, sf_dir)
+    common = common_by_difference("first_half", "second_half")
+    return halves.select("doc_id", F.size(common).alias("n_common"), joined_sorted(common).alias("common_chars"))
+
+
+def _doc_batches(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    # Distinct characters per document before any shuffle: at most the alphabet.
+    docs = docs.select("doc_id", F.array_distinct(chars("text")).alias("doc_chars"))
+    return batch_rows(docs, k, "doc_id")
+
+
+def _batch_common(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+    k = 3
+    batched = _doc_batches(spark, sf_dir, k)
+    common = group_common_elements(batched, "batch_id", "doc_chars", out="common", size_out="n_docs",
+                                   strategy=strategy, max_group_size=k)
+    return common.select("batch_id", "n_docs", F.size("common").alias("n_common"),
+                         F.array_join("common", "").alias("common_chars"))
+
+
+def q12_batch_common(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batch_common(spark, sf_dir, "fold")
+
+
+def q12b_batch_common_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _batch_common(spark, sf_dir, "count")
+
+
+# ---------------------------------------------------------------- intervals
+
+def _interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    a = F.col("l_quantity").cast("int")
+    b = F.round(F.col("l_discount") * 100).cast("int") * 5
+    c = F.col("l_linenumber") * 7
+    d = F.round(F.col("l_tax") * 100).cast("int") * 6
+    lo1, hi1 = iv.normalized(a, b)
+    lo2, hi2 = iv.normalized(c, d)
+    # Rendered as "a-b,c-d" text, then parsed back like any delimited input.
+    pair = F.concat(lo1.cast("string"), F.lit("-"), hi1.cast("string"), F.lit(","),
+                    lo2.cast("string"), F.lit("-"), hi2.cast("string"))
+    texts = li.select("l_orderkey", "l_linenumber", pair.alias("pair"))
+    parsed = texts.select("l_orderkey", "l_linenumber", "pair", *ints_at(delimited_ints("pair"), 4))
+    return parsed.withColumn("contained", iv.flag(iv.either_contains("val1", "val2", "val3", "val4")))
+
+
+def q13_interval_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interval_pairs(spark, sf_dir)
+
+
+def q14_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _interval_pairs(spark, sf_dir)
+    labelled = pairs.withColumn("label", iv.overlap_label("val1", "val2", "val3", "val4"))
+    return count_per(labelled, "label", out="n_pairs", extra={"n_contained": F.sum("contained")})
+
+
+def q14b_udf_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _interval_pairs(spark, sf_dir)
+    labelled = pairs.withColumn("label", overlap_label_udf("val1", "val2", "val3", "val4"))
+    return count_per(labelled, "label", out="n_pairs", extra={"n_contained": F.sum("contained")})
+
+
+def q15_user_type_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = (load(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+              .where(F.col("event_type").isin("view", "purchase")))
+    is_a, is_b = F.col("event_type") == "view", F.col("event_type") == "purchase"
+    spans = events.groupBy("user_id").agg(
+        F.min(F.when(is_a, F.col("event_id"))).alias("a_lo"),
+        F.max(F.when(is_a, F.col("event_id"))).alias("a_hi"),
+        F.min(F.when(is_b, F.col("event_id"))).alias("b_lo"),
+        F.max(F.when(is_b, F.col("event_id"))).alias("b_hi"),
+    ).where(F.col("a_lo").isNotNull() & F.col("b_lo").isNotNull())
+    return spans.select(
+        "user_id", "a_lo", "a_hi", "b_lo", "b_hi",
+        iv.flag(iv.overlaps("a_lo", "a_hi", "b_lo", "b_hi")).alias("is_overlap"),
+        iv.flag(iv.either_contains("a_lo", "a_hi", "b_lo", "b_hi")).alias("is_contained"),
+    )
+
+
+# ---------------------------------------------------------------- reshape and layout
+
+def _unit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax")
+    discount = F.round(F.col("l_discount") * 100).cast("long")
+    return li.select(
+        "l_orderkey",
+        F.col("l_quantity").cast("long").alias("quantity"),
+        F.when(discount != 0, discount).alias("discount"),  # zero discount is "no value"
+        F.round(F.col("l_tax") * 100).cast("long").alias("tax"),
+    )
+
+
+def q16_unpivot_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unpivot_totals(_unit_metrics(spark, sf_dir), ["quantity", "discount", "tax"])
+
+
+def q22_unpivot_top_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = unpivot_long(_unit_metrics(spark, sf_dir), ["l_orderkey"], ["quantity", "discount", "tax"],
+                        name="metric", value="units")
+    long = long.withColumnRenamed("l_orderkey", "order_key")
+    return top_k(total_per(long, "order_key", "units", out="total_units"), 1, "total_units",
+                 tie_break="order_key")
+
+
+def q17_fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber")
+    layout = F.concat(F.lit("["), F.col("l_returnflag"), F.lit("] ["), F.col("l_linestatus"), F.lit("] ["),
+                      F.col("l_linenumber").cast("string"), F.lit("]"))
+    return fixed_width(li.select("l_orderkey", layout.alias("layout")), "layout", [1, 5, 9, 13],
+                       keep=("l_orderkey", "layout"))
+
+
+def q18_prefix_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = load(spark, sf_dir, "nation")
+    renamed = rename_columns(nation, {"n_name": "name", "n_regionkey": "region_key", "absent": "ignored"})
+    prefixed = prefix_columns(renamed, "nat_")
+    return drop_columns(prefixed, "nat_region_key", "not_a_column")
+
+
+# ---------------------------------------------------------------- text sources
+
+def q19_text_scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("lang", "text")
+    path = write_lines(docs, "text", scratch_path(spark, "doc-lines"), partition_by=("lang",))
+    lines = read_lines(spark, path)
+    return lines.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.length("value")).alias("n_chars"),
+        F.count(F.when(F.col("value") == "", 1)).alias("n_blank"),
+    )
+
+
+def _doc_record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as text with a blank line opening each one, scanned back
+    and cut into records at the blank lines."""
+    docs = load(spark, sf_dir, "documents").select("text")
+    path = write_lines(docs, F.concat(F.lit("\n"), F.col("text")), scratch_path(spark, "doc-records"))
+    return record_groups(read_lines(spark, path))
+
+
+def _record_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = _doc_record_lines(spark, sf_dir)
+    is_line = F.col("value") != ""
+    return grouped.groupBy("group_id").agg(
+        F.count(F.when(is_line, 1)).alias("n_lines"),
+        F.sum(F.when(is_line, F.length("value")).otherwise(0)).alias("n_chars"),
+    )
+
+
+def q23_text_record_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _record_totals(spark, sf_dir).select("n_lines", "n_chars")
+
+
+def q24_text_records_linesep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("text")
+    path = write_lines(docs, F.concat(F.col("text"), F.lit("\n")), scratch_path(spark, "doc-linesep"))
+    records = read_records(spark, path, "\n\n")
+    n_lines = F.size(F.split("value", "\n"))
+    return records.select(n_lines.cast("long").alias("n_lines"),
+                          (F.length("value") - (n_lines - 1)).cast("long").alias("n_chars"))
+
+
+def q25_text_record_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = top_k(_record_totals(spark, sf_dir), 3, "n_chars", tie_break="group_id")
+    return top.agg(F.max("n_chars").alias("largest_chars"), F.sum("n_chars").alias("top3_chars"))
+
+
+# ---------------------------------------------------------------- batches, filters, lookups
+
+def q20_row_number_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events").select("event_id")
+    batched = batch_rows(events, 7, "event_id")
+    return batched.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("event_id").alias("first_event_id"),
+        F.max("event_id").alias("last_event_id"),
+    )
+
+
+def q21_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events").select("event_type", "value")
+    v, t = F.col("value"), F.col("event_type")
+    # One scan with conditional counts instead of one filtered scan per predicate.
+    return events.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(v.isNull(), 1)).alias("n_null_value"),
+        F.count(F.when(v.isNotNull(), 1)).alias("n_value"),
+        F.count(F.when(t == "signup", 1)).alias("n_signup"),
+        F.count(F.when((v >= 10) & (v < 20), 1)).alias("n_value_10_20"),
+        F.count(F.when((t == "click") & (v > 100), 1)).alias("n_click_over_100"),
+    )
+
+
+def q21b_pushed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events").select("user_id", "event_type", "value")
+    kept = events.where((F.col("event_type") == "purchase") & (F.col("value") >= 100))
+    return count_per(kept, "user_id", out="n_big_purchases",
+                     extra={"big_purchase_cents": F.sum(F.round(F.col("value") * 100).cast("long"))})
+
+
+def q26_recode_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = load(spark, sf_dir, "nation")
+    named = recode_join(customers, "c_nationkey", nation, "n_nationkey", "n_name", out="nation_name",
+                        default="Unknown")
+    return count_per(named, "nation_name", out="n_customers")
+
+
 QUERIES = {
     "q01_boundary_group_totals": q01_boundary_group_totals,
     "q02_top_groups": q02_top_groups,
     "q03_top_groups_total": q03_top_groups_total,
+    "q04_code_pair_score": q04_code_pair_score,
+    "q05_score_total": q05_score_total,
+    "q06_dependent_rule": q06_dependent_rule,
+    "q07_udf_rule": q07_udf_rule,
+    "q08_recode_default": q08_recode_default,
+    "q09_half_common": q09_half_common,
+    "q10_half_weight": q10_half_weight,
+    "q11_except_twice": q11_except_twice,
+    "q12_batch_common": q12_batch_common,
+    "q12b_batch_common_count": q12b_batch_common_count,
+    "q13_interval_containment": q13_interval_containment,
+    "q14_overlap_label_counts": q14_overlap_label_counts,
+    "q14b_udf_overlap_label_counts": q14b_udf_overlap_label_counts,
+    "q15_user_type_spans": q15_user_type_spans,
+    "q16_unpivot_totals": q16_unpivot_totals,
+    "q17_fixed_width": q17_fixed_width,
+    "q18_prefix_rename": q18_prefix_rename,
+    "q19_text_scan_lines": q19_text_scan_lines,
+    "q20_row_number_batches": q20_row_number_batches,
+    "q21_filters": q21_filters,
+    "q21b_pushed_filter": q21b_pushed_filter,
+    "q22_unpivot_top_key": q22_unpivot_top_key,
+    "q23_text_record_groups": q23_text_record_groups,
+    "q24_text_records_linesep": q24_text_records_linesep,
+    "q25_text_record_top3": q25_text_record_top3,
+    "q26_recode_join": q26_recode_join,
 }

@@ -20,6 +20,111 @@ WITH g AS (
   FROM g GROUP BY group_id
 )"""
 
+_SCORED = """
+WITH p AS (
+  SELECT o_orderkey, o_orderstatus AS opponent, substr(o_orderpriority, 1, 1) AS mine FROM orders
+), q AS (
+  SELECT *, CASE opponent WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END AS opponent_points,
+            CASE mine WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 3 END AS my_points
+  FROM p
+), s AS (
+  SELECT *, CASE WHEN my_points = opponent_points THEN 3
+                 WHEN (my_points - opponent_points + 3) % 3 = 1 THEN 6
+                 WHEN my_points IS NOT NULL AND opponent_points IS NOT NULL THEN 0 END AS match_points
+  FROM q
+)"""
+
+# The required move stated arithmetically (win: beat theirs, lose: lose to theirs).
+_DEPENDENT = """
+WITH q AS (
+  SELECT o_orderkey,
+         CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END AS opponent_points,
+         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 3 END AS my_points
+  FROM orders
+), r AS (
+  SELECT *, CASE my_points WHEN 1 THEN 'lose' WHEN 2 THEN 'draw' WHEN 3 THEN 'win' END AS needed_result
+  FROM q
+), m AS (
+  SELECT o_orderkey, needed_result,
+         CASE needed_result WHEN 'lose' THEN 0 WHEN 'draw' THEN 3 WHEN 'win' THEN 6 END AS new_points,
+         my_points - opponent_points AS point_dif,
+         CASE needed_result WHEN 'draw' THEN opponent_points
+                            WHEN 'win' THEN opponent_points % 3 + 1
+                            WHEN 'lose' THEN (opponent_points + 1) % 3 + 1
+                            ELSE 0 END AS new_play
+  FROM r
+)
+SELECT o_orderkey, needed_result, new_points, point_dif, new_play, new_play + new_points AS new_total_points
+FROM m"""
+
+_HALVES = """
+WITH h AS (
+  SELECT doc_id, lang, text, CAST(length(text) // 2 AS INTEGER) AS half FROM documents
+), s AS (
+  SELECT doc_id, lang, substr(text, 1, half) AS a, substr(text, half + 1) AS b FROM h
+)"""
+
+_HALF_COMMON = _HALVES + """
+, c AS (
+  SELECT doc_id, lang,
+         list_sort(list_filter(list_distinct(list_intersect(string_split(a, ''), string_split(b, ''))),
+                               lambda x: regexp_full_match(x, '[A-Za-z]'))) AS common
+  FROM s
+)"""
+
+_BATCH_COMMON = """
+WITH b AS (
+  SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // 3 + 1 AS batch_id FROM documents
+), sz AS (
+  SELECT batch_id, COUNT(*) AS n_docs FROM b GROUP BY batch_id
+), e AS (
+  SELECT DISTINCT batch_id, doc_id, unnest(string_split(text, '')) AS ch FROM b
+), ce AS (
+  SELECT e.batch_id, e.ch FROM e JOIN sz ON e.batch_id = sz.batch_id
+  GROUP BY e.batch_id, e.ch, sz.n_docs HAVING COUNT(*) = sz.n_docs
+)
+SELECT sz.batch_id, sz.n_docs, CAST(COUNT(ce.ch) AS INTEGER) AS n_common,
+       COALESCE(string_agg(ce.ch, '' ORDER BY ce.ch), '') AS common_chars
+FROM sz LEFT JOIN ce ON sz.batch_id = ce.batch_id
+GROUP BY sz.batch_id, sz.n_docs"""
+
+_INTERVALS = """
+WITH v AS (
+  SELECT l_orderkey, l_linenumber,
+         CAST(l_quantity AS INTEGER) AS a, CAST(round(l_discount * 100) AS INTEGER) * 5 AS b,
+         l_linenumber * 7 AS c, CAST(round(l_tax * 100) AS INTEGER) * 6 AS d
+  FROM lineitem
+), n AS (
+  SELECT l_orderkey, l_linenumber, least(a, b) AS val1, greatest(a, b) AS val2,
+         least(c, d) AS val3, greatest(c, d) AS val4
+  FROM v
+), w AS (
+  SELECT *, CAST(val1 AS VARCHAR) || '-' || CAST(val2 AS VARCHAR) || ',' ||
+            CAST(val3 AS VARCHAR) || '-' || CAST(val4 AS VARCHAR) AS pair,
+         CASE WHEN (val1 <= val3 AND val2 >= val4) OR (val3 <= val1 AND val4 >= val2) THEN 1 ELSE 0 END AS contained
+  FROM n
+)"""
+
+_OVERLAP_COUNTS = """
+SELECT CASE WHEN val3 > val2 OR val4 < val1 THEN 'disjoint' ELSE 'overlap' END AS label,
+       COUNT(*) AS n_pairs, CAST(SUM(contained) AS BIGINT) AS n_contained
+FROM w GROUP BY 1"""
+
+_UNITS = """
+WITH u AS (
+  SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS quantity,
+         NULLIF(CAST(round(l_discount * 100) AS BIGINT), 0) AS discount,
+         CAST(round(l_tax * 100) AS BIGINT) AS tax
+  FROM lineitem
+)"""
+
+_DOC_RECORDS = """
+WITH r AS (
+  SELECT CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines,
+         CAST(length(replace(text, chr(10), '')) AS BIGINT) AS n_chars
+  FROM documents
+)"""
+
 ORACLE: dict[str, str] = {
     "q01_boundary_group_totals": _EVENT_GROUPS + """
 SELECT group_id, total_cents, n_rows FROM t""",
@@ -28,4 +133,107 @@ SELECT group_id, total_cents, n_rows FROM t ORDER BY total_cents DESC, group_id
     "q03_top_groups_total": _EVENT_GROUPS + """
 SELECT CAST(SUM(total_cents) AS BIGINT) AS top3_total_cents
 FROM (SELECT total_cents FROM t ORDER BY total_cents DESC, group_id LIMIT 3) s""",
+    "q04_code_pair_score": _SCORED + """
+SELECT o_orderkey, opponent, mine, opponent_points, my_points, match_points,
+       match_points + my_points AS total_points
+FROM s""",
+    "q05_score_total": _SCORED + """
+SELECT CAST(SUM(match_points + my_points) AS BIGINT) AS score_total FROM s""",
+    "q06_dependent_rule": _DEPENDENT,
+    "q07_udf_rule": _DEPENDENT,
+    "q08_recode_default": """
+SELECT CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'auto' WHEN 'BUILDING' THEN 'building'
+            WHEN 'MACHINERY' THEN 'machinery' ELSE 'Unknown' END AS segment_label,
+       COUNT(*) AS n_customers
+FROM customer GROUP BY 1""",
+    "q09_half_common": _HALF_COMMON + """
+SELECT doc_id, CAST(len(common) AS INTEGER) AS n_common, common[1] AS first_common FROM c""",
+    "q10_half_weight": _HALF_COMMON + """
+, w AS (
+  SELECT lang, common[1] AS f FROM c
+)
+SELECT lang,
+       CAST(SUM(CASE WHEN f BETWEEN 'a' AND 'z' THEN ascii(f) - ascii('a') + 1
+                     WHEN f BETWEEN 'A' AND 'Z' THEN ascii(f) - ascii('A') + 27 END) AS BIGINT) AS total_weight,
+       COUNT(*) AS n_docs, COUNT(f) AS n_weighted
+FROM w GROUP BY lang""",
+    "q11_except_twice": _HALVES + """
+SELECT doc_id,
+       CAST(len(list_distinct(list_intersect(string_split(a, ''), string_split(b, '')))) AS INTEGER) AS n_common,
+       COALESCE(array_to_string(list_sort(list_distinct(list_intersect(string_split(a, ''), string_split(b, '')))), ''), '')
+         AS common_chars
+FROM s""",
+    "q12_batch_common": _BATCH_COMMON,
+    "q12b_batch_common_count": _BATCH_COMMON,
+    "q13_interval_containment": _INTERVALS + """
+SELECT l_orderkey, l_linenumber, pair, val1, val2, val3, val4, contained FROM w""",
+    "q14_overlap_label_counts": _INTERVALS + _OVERLAP_COUNTS,
+    "q14b_udf_overlap_label_counts": _INTERVALS + _OVERLAP_COUNTS,
+    "q15_user_type_spans": """
+WITH s AS (
+  SELECT user_id,
+         MIN(CASE WHEN event_type = 'view' THEN event_id END) AS a_lo,
+         MAX(CASE WHEN event_type = 'view' THEN event_id END) AS a_hi,
+         MIN(CASE WHEN event_type = 'purchase' THEN event_id END) AS b_lo,
+         MAX(CASE WHEN event_type = 'purchase' THEN event_id END) AS b_hi
+  FROM events GROUP BY user_id
+)
+SELECT user_id, a_lo, a_hi, b_lo, b_hi,
+       CASE WHEN b_lo <= a_hi AND a_lo <= b_hi THEN 1 ELSE 0 END AS is_overlap,
+       CASE WHEN (a_lo <= b_lo AND a_hi >= b_hi) OR (b_lo <= a_lo AND b_hi >= a_hi) THEN 1 ELSE 0 END AS is_contained
+FROM s WHERE a_lo IS NOT NULL AND b_lo IS NOT NULL""",
+    "q16_unpivot_totals": _UNITS + """
+SELECT metric, CAST(SUM(value) AS BIGINT) AS total, COUNT(*) AS n_rows, COUNT(value) AS n_values
+FROM u UNPIVOT INCLUDE NULLS (value FOR metric IN (quantity, discount, tax)) l
+GROUP BY metric""",
+    "q17_fixed_width": """
+WITH l AS (
+  SELECT l_orderkey, '[' || l_returnflag || '] [' || l_linestatus || '] [' || CAST(l_linenumber AS VARCHAR) || ']' AS layout
+  FROM lineitem
+)
+SELECT l_orderkey, layout,
+       CASE WHEN length(layout) > 1 THEN substr(layout, 2, 1) END AS list1,
+       CASE WHEN length(layout) > 5 THEN substr(layout, 6, 1) END AS list5,
+       CASE WHEN length(layout) > 9 THEN substr(layout, 10, 1) END AS list9,
+       CASE WHEN length(layout) > 13 THEN substr(layout, 14, 1) END AS list13
+FROM l""",
+    "q18_prefix_rename": """
+SELECT n_nationkey AS nat_n_nationkey, n_name AS nat_name FROM nation""",
+    "q19_text_scan_lines": """
+SELECT lang, COUNT(*) AS n_lines, CAST(SUM(length(line)) AS BIGINT) AS n_chars,
+       COUNT(CASE WHEN line = '' THEN 1 END) AS n_blank
+FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) t
+GROUP BY lang""",
+    "q20_row_number_batches": """
+WITH b AS (
+  SELECT event_id, (row_number() OVER (ORDER BY event_id) - 1) // 7 + 1 AS batch_id FROM events
+)
+SELECT batch_id, COUNT(*) AS n_rows, MIN(event_id) AS first_event_id, MAX(event_id) AS last_event_id
+FROM b GROUP BY batch_id""",
+    "q21_filters": """
+SELECT COUNT(*) AS n_rows,
+       COUNT(*) FILTER (WHERE value IS NULL) AS n_null_value,
+       COUNT(*) FILTER (WHERE value IS NOT NULL) AS n_value,
+       COUNT(*) FILTER (WHERE event_type = 'signup') AS n_signup,
+       COUNT(*) FILTER (WHERE value >= 10 AND value < 20) AS n_value_10_20,
+       COUNT(*) FILTER (WHERE event_type = 'click' AND value > 100) AS n_click_over_100
+FROM events""",
+    "q21b_pushed_filter": """
+SELECT user_id, COUNT(*) AS n_big_purchases, CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS big_purchase_cents
+FROM events WHERE event_type = 'purchase' AND value >= 100 GROUP BY user_id""",
+    "q22_unpivot_top_key": _UNITS + """
+SELECT l_orderkey AS order_key, CAST(SUM(value) AS BIGINT) AS total_units
+FROM u UNPIVOT INCLUDE NULLS (value FOR metric IN (quantity, discount, tax)) l
+GROUP BY l_orderkey ORDER BY total_units DESC, order_key LIMIT 1""",
+    "q23_text_record_groups": _DOC_RECORDS + """
+SELECT n_lines, n_chars FROM r""",
+    "q24_text_records_linesep": _DOC_RECORDS + """
+SELECT n_lines, n_chars FROM r""",
+    "q25_text_record_top3": _DOC_RECORDS + """
+SELECT MAX(n_chars) AS largest_chars, CAST(SUM(n_chars) AS BIGINT) AS top3_chars
+FROM (SELECT n_chars FROM r ORDER BY n_chars DESC LIMIT 3) t""",
+    "q26_recode_join": """
+SELECT COALESCE(n.n_name, 'Unknown') AS nation_name, COUNT(*) AS n_customers
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY 1""",
 }

@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
