@@ -22,6 +22,11 @@ def chars(c: Column | str) -> Column:
     return F.split(_c(c), "")
 
 
+def keep_chars(c: Column | str, char_class: str) -> Column:
+    """Remove every character outside ``char_class`` (a regex class body, e.g. ``A-Za-z``)."""
+    return F.regexp_replace(_c(c), f"[^{char_class}]", "")
+
+
 def char_at(c: Column | str, pos: int) -> Column:
     """Character at 0-based ``pos``; null when the string is shorter."""
     return F.get(chars(c), pos)

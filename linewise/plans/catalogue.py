@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewise.functions import intervals as iv
-from linewise.functions.parse import char_at, chars, delimited_ints, fixed_width, ints_at, split_half
+from linewise.functions.parse import (char_at, chars, delimited_ints, fixed_width, ints_at, keep_chars,
+                                      split_half)
 from linewise.functions.recode import letter_weight, recode
 from linewise.functions.rules import match_points, needed_result, required_move, result_points
-from linewise.functions.sets import (common_by_difference, common_elements, first_common,
-                                     joined_sorted, letters_only)
+from linewise.functions.sets import common_by_difference, common_elements, first_common, joined_sorted
 from linewise.functions.udf_forms import overlap_label_udf, required_move_udf
 from linewise.operators.columns import drop_columns, prefix_columns, rename_columns
 from linewise.operators.group_sets import group_common_elements
@@ -129,9 +129,14 @@ def _halves(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Da
 
 
 def _half_common(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    halves = _halves(spark, sf_dir, extra)
-    common = F.sort_array(letters_only(common_elements("first_half", "second_half")))
-    return halves.select("doc_id", *extra, common.alias("common"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", *extra)
+    first, second = split_half("text")
+    # Dropping non-letters before the split (not after it) keeps the arrays
+    # short and avoids an interpreted lambda; the result is the same set.
+    a = F.array_distinct(chars(keep_chars(first, "A-Za-z")))
+    b = F.array_distinct(chars(keep_chars(second, "A-Za-z")))
+    common = F.array_remove(common_elements(a, b), "")
+    return docs.select("doc_id", *extra, F.sort_array(common).alias("common"))
 
 
 def q09_half_common(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,3 +395,25 @@ QUERIES = {
     "q25_text_record_top3": q25_text_record_top3,
     "q26_recode_join": q26_recode_join,
 }
+
+
+# ---------------------------------------------------------------- streaming
+
+def q27_stream_score_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code-pair scoring run as a file stream, then totals per code pair."""
+    from linewise.streaming.files import run_to_files
+
+    def score(orders: DataFrame) -> DataFrame:
+        code = F.concat(F.col("o_orderstatus"), F.lit(" "), F.substring("o_orderpriority", 1, 1))
+        pairs = orders.select(recode(char_at(code, 0), OPPONENT_POINTS).alias("opponent_points"),
+                              recode(char_at(code, 2), MY_POINTS).alias("my_points"))
+        return pairs.withColumn("total_points",
+                                match_points(F.col("my_points"), F.col("opponent_points")) + F.col("my_points"))
+
+    out = run_to_files(spark, sf_dir, score, name="stream-scores", file_glob="orders.parquet")
+    scored = spark.read.parquet(out)
+    return scored.groupBy("opponent_points", "my_points").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum("total_points").alias("total_points"))
+
+
+QUERIES["q27_stream_score_totals"] = q27_stream_score_totals

@@ -236,4 +236,7 @@ FROM (SELECT n_chars FROM r ORDER BY n_chars DESC LIMIT 3) t""",
 SELECT COALESCE(n.n_name, 'Unknown') AS nation_name, COUNT(*) AS n_customers
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY 1""",
+    "q27_stream_score_totals": _SCORED + """
+SELECT opponent_points, my_points, COUNT(*) AS n_orders, CAST(SUM(match_points + my_points) AS BIGINT) AS total_points
+FROM s GROUP BY opponent_points, my_points""",
 }
