@@ -60,4 +60,4 @@ def group_common_elements(df: DataFrame, group: str | Sequence[str], arr: str, *
     elem_type = df.schema[arr].dataType
     result = (sizes.join(common, on=keys, how="left")
               .withColumn(out, F.coalesce(F.col(out), F.array().cast(elem_type))))
-    return result if size_out else result.drop(n_col)
+    return result.select(*keys, out, n_col) if size_out else result.select(*keys, out)
