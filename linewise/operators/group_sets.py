@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linewise.functions.sets import fold_common
@@ -31,33 +31,42 @@ def group_common_elements(df: DataFrame, group: str | Sequence[str], arr: str, *
                           strategy: str = "count", max_group_size: int | None = None) -> DataFrame:
     """One row per group with the sorted common elements (empty array if none).
 
-    A null array counts as an empty row, so its group has no common element.
-    ``strategy="fold"`` requires ``max_group_size <= FOLD_MAX_GROUP``; ``"auto"``
-    picks fold only then.
+    Null elements are ignored, and a null array counts as an empty row, so its
+    group has no common element.  ``strategy="fold"`` requires
+    ``max_group_size <= FOLD_MAX_GROUP``; ``"auto"`` picks fold only then.
     """
     keys = _keys(group)
+    arr_type = df.schema[arr].dataType
+    items = F.array_distinct(F.array_compact(F.coalesce(F.col(arr), F.array().cast(arr_type))))
     if strategy == "auto":
         small = max_group_size is not None and max_group_size <= FOLD_MAX_GROUP
         strategy = "fold" if small else "count"
     if strategy == "fold":
         if max_group_size is None or max_group_size > FOLD_MAX_GROUP:
             raise ValueError("fold needs a known group size bound <= FOLD_MAX_GROUP")
-        arrays = F.collect_list(F.coalesce(F.array_distinct(arr), F.array().cast(df.schema[arr].dataType)))
-        aggs = [F.sort_array(fold_common(arrays)).alias(out)]
+        aggs = [F.sort_array(fold_common(F.collect_list(items))).alias(out)]
         if size_out:
             aggs.append(F.count(F.lit(1)).alias(size_out))
         return df.groupBy(*keys).agg(*aggs)
     if strategy != "count":
         raise ValueError(f"unknown strategy {strategy!r}")
 
+    # One pass over the input: each row emits a marker (position 0) and its
+    # distinct elements.  A partial aggregate per (group, marker, element)
+    # shrinks a hot group to one row per distinct element before the shuffle;
+    # a window over those rows then attaches the group's row count, so neither
+    # raw rows nor a group's elements are ever collected into one value.
     n_col = size_out or "__lw_n"
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n_col))
-    elems = (df.select(*keys, F.explode(F.array_distinct(arr)).alias("__lw_e"))
-             .groupBy(*keys, "__lw_e").agg(F.count(F.lit(1)).alias("__lw_c")))
-    common = (elems.join(sizes, on=keys)
-              .where(F.col("__lw_c") == F.col(n_col))
-              .groupBy(*keys).agg(F.sort_array(F.collect_list("__lw_e")).alias(out)))
-    elem_type = df.schema[arr].dataType
-    result = (sizes.join(common, on=keys, how="left")
-              .withColumn(out, F.coalesce(F.col(out), F.array().cast(elem_type))))
+    elem_type = arr_type.elementType
+    tagged = F.concat(F.array(F.lit(None).cast(elem_type)), items)
+    counted = (df.select(*keys, F.posexplode(tagged).alias("__lw_pos", "__lw_e"))
+               .groupBy(*keys, (F.col("__lw_pos") == 0).alias("__lw_row"), "__lw_e")
+               .agg(F.count(F.lit(1)).alias("__lw_c")))
+    per_group = Window.partitionBy(*keys)
+    sized = counted.withColumn(n_col, F.max(F.when(F.col("__lw_row"), F.col("__lw_c"))).over(per_group))
+    is_common = ~F.col("__lw_row") & (F.col("__lw_c") == F.col(n_col))
+    result = sized.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(is_common, F.col("__lw_e")))).alias(out),
+        F.max(n_col).alias(n_col),
+    )
     return result.select(*keys, out, n_col) if size_out else result.select(*keys, out)

@@ -6,7 +6,9 @@ task.  These operators instead cut the order into buckets that are a pure
 function of the row (so a recomputed task sees the same bucket), number or sum
 rows inside each bucket with a partitioned window, and add the total of all
 earlier buckets.  The table of bucket totals has at most ``max_buckets`` rows
-per partition key, which is the bound that makes broadcasting it safe.
+per partition key (2**18 rows of two longs, about 4 MB), which is the bound
+that makes broadcasting it safe.  Beyond 2**34 rows buckets grow past
+``rows_per_bucket``; a bucket is sorted by one task, spilling as needed.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ _LOCAL = "__lw_local"
 _TOTAL = "__lw_total"
 _OFFSET = "__lw_offset"
 
-DEFAULT_ROWS_PER_BUCKET = 1 << 20
-DEFAULT_MAX_BUCKETS = 100_000
+DEFAULT_ROWS_PER_BUCKET = 1 << 16
+DEFAULT_MAX_BUCKETS = 1 << 18
 
 
 def _names(cols: str | Sequence[str] | None) -> list[str]:

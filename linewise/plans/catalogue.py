@@ -19,6 +19,7 @@ from linewise.functions.udf_forms import overlap_label_udf, required_move_udf
 from linewise.operators.columns import drop_columns, prefix_columns, rename_columns
 from linewise.operators.group_sets import group_common_elements
 from linewise.operators.lookup import recode_join
+from linewise.operators.partitioning import spread_small_input
 from linewise.operators.reshape import unpivot_long, unpivot_totals
 from linewise.operators.sequence import batch_rows, boundary_groups
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
@@ -122,14 +123,19 @@ def q08_recode_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- array sets over text
 
+def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """Documents for whole-text character work, spread over all cores when small."""
+    return spread_small_input(load(spark, sf_dir, "documents").select("doc_id", *cols), "doc_id")
+
+
 def _halves(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", *extra)
+    docs = _documents(spark, sf_dir, "text", *extra)
     first, second = split_half("text")
     return docs.select("doc_id", *extra, chars(first).alias("first_half"), chars(second).alias("second_half"))
 
 
 def _half_common(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", *extra)
+    docs = _documents(spark, sf_dir, "text", *extra)
     first, second = split_half("text")
     # Dropping non-letters before the split (not after it) keeps the arrays
     # short and avoids an interpreted lambda; the result is the same set.
@@ -161,7 +167,7 @@ def q11_except_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_batches(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf_dir, "text")
     # Distinct characters per document before any shuffle: at most the alphabet.
     docs = docs.select("doc_id", F.array_distinct(chars("text")).alias("doc_chars"))
     return batch_rows(docs, k, "doc_id")
@@ -188,6 +194,7 @@ def q12b_batch_common_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    li = spread_small_input(li, ["l_orderkey", "l_linenumber"])
     a = F.col("l_quantity").cast("int")
     b = F.round(F.col("l_discount") * 100).cast("int") * 5
     c = F.col("l_linenumber") * 7
