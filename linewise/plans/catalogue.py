@@ -25,7 +25,7 @@ from linewise.operators.sequence import batch_rows, boundary_groups
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
 from linewise.plans.tables import load
 from linewise.session import scratch_path
-from linewise.sources.text import read_lines, read_records, record_groups, write_lines
+from linewise.sources.text import first_lines, read_lines, read_records, record_groups, write_lines
 
 
 # ---------------------------------------------------------------- boundary groups
@@ -330,6 +330,18 @@ def q25_text_record_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.agg(F.max("n_chars").alias("largest_chars"), F.sum("n_chars").alias("top3_chars"))
 
 
+def q28_layout_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text file whose first nine lines are a fixed-width block, read back."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    layout = F.concat(F.lit("["), F.col("o_orderstatus"), F.lit("] ["), F.substring("o_orderpriority", 1, 1),
+                      F.lit("] "), F.substring("o_orderpriority", 3, 4))
+    # Range-partitioned sort: part files are written in key order.
+    ordered = orders.select("o_orderkey", layout.alias("layout")).orderBy("o_orderkey")
+    path = write_lines(ordered, "layout", scratch_path(spark, "order-layout"))
+    head = first_lines(read_lines(spark, path), 9, line_number="line_no")
+    return fixed_width(head, "value", [1, 5, 9], keep=("line_no", "value"))
+
+
 # ---------------------------------------------------------------- batches, filters, lookups
 
 def q20_row_number_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +413,7 @@ QUERIES = {
     "q24_text_records_linesep": q24_text_records_linesep,
     "q25_text_record_top3": q25_text_record_top3,
     "q26_recode_join": q26_recode_join,
+    "q28_layout_header": q28_layout_header,
 }
 
 

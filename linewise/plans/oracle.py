@@ -239,4 +239,15 @@ GROUP BY 1""",
     "q27_stream_score_totals": _SCORED + """
 SELECT opponent_points, my_points, COUNT(*) AS n_orders, CAST(SUM(match_points + my_points) AS BIGINT) AS total_points
 FROM s GROUP BY opponent_points, my_points""",
+    "q28_layout_header": """
+WITH h AS (
+  SELECT row_number() OVER (ORDER BY o_orderkey) AS line_no,
+         '[' || o_orderstatus || '] [' || substr(o_orderpriority, 1, 1) || '] ' || substr(o_orderpriority, 3, 4) AS value
+  FROM orders ORDER BY o_orderkey LIMIT 9
+)
+SELECT line_no, value,
+       CASE WHEN length(value) > 1 THEN substr(value, 2, 1) END AS list1,
+       CASE WHEN length(value) > 5 THEN substr(value, 6, 1) END AS list5,
+       CASE WHEN length(value) > 9 THEN substr(value, 10, 1) END AS list9
+FROM h""",
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linewise.operators.sequence import boundary_groups, row_number
@@ -43,6 +43,19 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], *,
     return lines
 
 
+def first_lines(lines: DataFrame, n: int, *, line_number: str | None = None) -> DataFrame:
+    """The first ``n`` lines in file order (a header block, a fixed layout).
+
+    Planned as a top-k on the line order key: each task keeps its own ``n``
+    first lines and only those reach the final merge; nothing is numbered.
+    """
+    head = lines.orderBy(*LINE_ORDER).limit(n)
+    if line_number:
+        # A window over the n kept rows only.
+        head = head.withColumn(line_number, F.row_number().over(Window.orderBy(*LINE_ORDER)).cast("long"))
+    return head
+
+
 def read_records(spark: SparkSession, path: str | Sequence[str], separator: str = "\n\n") -> DataFrame:
     """Records separated by ``separator`` (default: a blank line), one row each.
 
