@@ -26,6 +26,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Parquet through DataSource V2 so MIN/MAX/COUNT (bucket sizing in
+        # operators.sequence) are answered from footers, not a column scan.
+        .config("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
         .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.adaptive.enabled", "true")
