@@ -35,19 +35,24 @@ def _names(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _key_stats(df: DataFrame, order_by: str) -> tuple:
+    """min, max and non-null count of the key in one aggregate (answered from
+    parquet footers when the scan supports aggregate pushdown)."""
+    row = df.agg(F.min(order_by).alias("lo"), F.max(order_by).alias("hi"),
+                 F.count(order_by).alias("n")).first()
+    return row["lo"], row["hi"], row["n"]
+
+
 def add_range_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
                      rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                     max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
+                     max_buckets: int = DEFAULT_MAX_BUCKETS, stats: tuple | None = None) -> DataFrame:
     """Bucket an integer order key into equal-width key ranges.
 
-    One aggregate (min, max, count of the key; answered from parquet footers
-    when aggregate pushdown is on) sizes the buckets so that a bucket holds
-    about ``rows_per_bucket`` rows of a dense key and there are never more than
-    ``max_buckets`` buckets.
+    With a unique key of density ``d`` (rows per key value) a bucket holds at
+    most ``width`` rows, about ``rows_per_bucket / d``; there are never more
+    than ``max_buckets`` buckets.
     """
-    stats = df.agg(F.min(order_by).alias("lo"), F.max(order_by).alias("hi"),
-                   F.count(order_by).alias("n")).first()
-    lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+    lo, hi, n = stats or _key_stats(df, order_by)
     if lo is None:
         return df.withColumn(out, F.lit(0).cast("long"))
     n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
@@ -74,6 +79,8 @@ def add_quantile_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
     probs = [i / n_buckets for i in range(1, n_buckets)]
     keyed = df.withColumn("__lw_key_d", F.col(order_by).cast("double"))
     edges = sorted(set(keyed.approxQuantile("__lw_key_d", probs, relative_error))) if probs else []
+    if not edges:
+        return df.withColumn(out, F.when(F.col(order_by).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
     splits = [-math.inf] + edges + [math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="__lw_key_d", outputCol=out,
                           handleInvalid="keep").transform(keyed)
@@ -88,11 +95,17 @@ def _bucketed(df: DataFrame, order_by: list[str], bucket: str | Sequence[str] |
         return df, _names(bucket), False
     if len(order_by) != 1:
         raise ValueError("pass `bucket=` when ordering by several columns")
-    key_type = df.schema[order_by[0]].dataType.typeName()
-    if key_type in ("long", "integer", "short", "byte"):
-        out = add_range_bucket(df, order_by[0], rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
-    else:
-        out = add_quantile_bucket(df, order_by[0], rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
+    key = order_by[0]
+    if df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+        lo, hi, n = stats = _key_stats(df, key)
+        # Equal-width ranges are balanced only for a dense key: with at least one
+        # row per two key values a range bucket holds <= 2 x rows_per_bucket rows.
+        # A sparse or outlier-stretched key gets quantile edges instead.
+        if lo is None or 2 * n >= hi - lo + 1:
+            out = add_range_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets,
+                                   stats=stats)
+            return out, [_BUCKET], True
+    out = add_quantile_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
     return out, [_BUCKET], True
 
 

@@ -54,11 +54,27 @@ def rows_of_duck(con, sql):
     return [names[i] for i in order], sorted((tuple(_norm(r[i]) for i in order) for r in data), key=_key)
 
 
+_DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT", "array<string>": "VARCHAR[]"}
+
+
+def types_of(df, con, sql) -> tuple[dict, dict]:
+    spark_types = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(sql)
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    return spark_types, duck_types
+
+
 def compare(df, con, sql) -> tuple[bool, str]:
     s_cols, s_rows = rows_of_spark(df)
     d_cols, d_rows = rows_of_duck(con, sql)
     if s_cols != d_cols:
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    s_types, d_types = types_of(df, con, sql)
+    if s_types != d_types:
+        diff = {k: (s_types[k], d_types.get(k)) for k in s_types if s_types[k] != d_types.get(k)}
+        return False, f"column types differ (spark, duck): {diff}"
     if len(s_rows) != len(d_rows):
         return False, f"row counts differ: spark={len(s_rows)} duck={len(d_rows)}"
     for a, b in zip(s_rows, d_rows):

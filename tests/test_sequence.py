@@ -89,3 +89,44 @@ def test_no_single_partition_window_over_data(spark):
     assert singles, plan
     for i in singles:
         assert "HashAggregate" in lines[i + 1], plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(flags=st.lists(st.booleans(), min_size=1, max_size=120),
+       parts=st.integers(min_value=1, max_value=7),
+       rows_per_bucket=st.sampled_from([1, 5, 16, 1 << 16]),
+       seed=st.integers(min_value=0, max_value=1000))
+def test_property_group_ids_independent_of_partitioning(spark, flags, parts, rows_per_bucket, seed):
+    rng = random.Random(seed)
+    keys = sorted(rng.sample(range(10 * len(flags) + 10), len(flags)))
+    rows = list(zip(keys, ["" if f else "x" for f in flags]))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, value string").repartition(parts)
+    got = boundary_groups(df, F.col("value") == "", "k", rows_per_bucket=rows_per_bucket)
+    expected, g = {}, 1
+    for k, f in zip(keys, flags):
+        g += int(f)
+        expected[k] = g
+    assert {r.k: r.group_id for r in got.collect()} == expected
+
+
+def test_batch_id_equals_ceil_of_row_number(spark):
+    df = spark.createDataFrame([(i,) for i in range(23)], "k long")
+    out = batch_rows(df, 4, "k", row_out="rn", rows_per_bucket=3)
+    assert out.where(F.col("batch_id") != F.ceil(F.col("rn") / 4)).count() == 0
+
+
+def test_sparse_key_with_outlier_uses_balanced_buckets(spark):
+    keys = list(range(500)) + [10**12, 10**15]
+    df = spark.createDataFrame([(k, 1) for k in keys], "k long, v int")
+    got = running_sum(df, "v", "k", out="r", rows_per_bucket=50)
+    assert sorted((r.k, r.r) for r in got.collect()) == [(k, i + 1) for i, k in enumerate(keys)]
+    # Quantile edges: no bucket holds most of the rows.
+    from linewise.operators.sequence import _bucketed
+    framed, cols, _ = _bucketed(df, ["k"], None, 50, 1 << 18)
+    biggest = framed.groupBy(*cols).count().agg(F.max("count")).first()[0]
+    assert biggest <= 100
