@@ -25,7 +25,7 @@ from linewise.operators.sequence import batch_rows, boundary_groups
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
 from linewise.plans.tables import load
 from linewise.session import scratch_path
-from linewise.sources.text import first_lines, read_lines, read_records, record_groups, write_lines
+from linewise.sources.text import read_first_lines, read_lines, read_records, record_groups, write_lines
 
 
 # ---------------------------------------------------------------- boundary groups
@@ -338,7 +338,7 @@ def q28_layout_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Range-partitioned sort: part files are written in key order.
     ordered = orders.select("o_orderkey", layout.alias("layout")).orderBy("o_orderkey")
     path = write_lines(ordered, "layout", scratch_path(spark, "order-layout"))
-    head = first_lines(read_lines(spark, path), 9, line_number="line_no")
+    head = read_first_lines(spark, path, 9, line_number="line_no")
     return fixed_width(head, "value", [1, 5, 9], keep=("line_no", "value"))
 
 

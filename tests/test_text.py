@@ -54,3 +54,16 @@ def test_many_splits_keep_order(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted((r.n, r.value) for r in got) == [(i + 1, v) for i, v in enumerate(lines)]
+
+
+def test_first_lines_across_files(spark, tmp_path):
+    from linewise.sources.text import first_lines, read_first_lines
+    folder = str(tmp_path)
+    _write(folder, "part-0.txt", "h1\nh2\n")
+    _write(folder, "part-1.txt", "")
+    _write(folder, "part-2.txt", "h3\nh4\nh5\n")
+    _write(folder, "part-3.txt", "z1\n")
+    fast = read_first_lines(spark, folder, 4, line_number="n").orderBy("n").collect()
+    full = first_lines(read_lines(spark, folder), 4, line_number="n").orderBy("n").collect()
+    assert [(r.n, r.value) for r in fast] == [(1, "h1"), (2, "h2"), (3, "h3"), (4, "h4")]
+    assert [(r.n, r.value) for r in full] == [(r.n, r.value) for r in fast]
