@@ -130,3 +130,14 @@ def test_sparse_key_with_outlier_uses_balanced_buckets(spark):
     framed, cols, _ = _bucketed(df, ["k"], None, 50, 1 << 18)
     biggest = framed.groupBy(*cols).count().agg(F.max("count")).first()[0]
     assert biggest <= 100
+
+
+def test_one_group_spanning_many_buckets(spark):
+    # A third of the rows sit in one group that spans many buckets.
+    n = 3000
+    rows = [(k, "" if (k < 1000 and k % 10 == 0) else "x") for k in range(n)]
+    df = spark.createDataFrame(rows, "k long, value string")
+    g = boundary_groups(df, F.col("value") == "", "k", rows_per_bucket=64)
+    sizes = {r.group_id: r.n for r in g.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # k=0 is a boundary, so group 1 is empty: groups 2..101, the last one holds rows 990..2999
+    assert sorted(sizes) == list(range(2, 102)) and sizes[101] == 2010 and sum(sizes.values()) == n

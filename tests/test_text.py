@@ -67,3 +67,12 @@ def test_first_lines_across_files(spark, tmp_path):
     full = first_lines(read_lines(spark, folder), 4, line_number="n").orderBy("n").collect()
     assert [(r.n, r.value) for r in fast] == [(1, "h1"), (2, "h2"), (3, "h3"), (4, "h4")]
     assert [(r.n, r.value) for r in full] == [(r.n, r.value) for r in fast]
+
+
+def test_crlf_lines_and_malformed_number(spark, tmp_path):
+    path = _write(str(tmp_path), "crlf.txt", "10\r\n20\r\n\r\n5\r\nx1\r\n\r\n\r\n7")
+    grouped = record_groups(read_lines(spark, path))
+    totals = grouped.groupBy("group_id").agg(F.sum(F.col("value").try_cast("int")).alias("t"))
+    got = sorted((r.group_id, r.t) for r in totals.collect())
+    # the malformed "x1" counts nothing; two blanks in a row leave an empty group
+    assert got == [(1, 30), (2, 5), (3, None), (4, 7)]
