@@ -68,19 +68,16 @@ def result_points(needed: Column) -> Column:
     return lookup_rules(needed, RESULT_POINTS)
 
 
-def required_move(needed: Column, theirs: Column, mine: Column) -> Column:
-    """Move value that yields ``needed`` against ``theirs``; 0 when no rule applies.
+# The move (1, 2, 3) that gives the wanted result against the
+# opponent's move.  A draw repeats the opponent's move.
+REQUIRED_MOVE: tuple[tuple[str, int, int], ...] = (
+    ("lose", 1, 3), ("lose", 2, 1), ("lose", 3, 2),
+    ("win", 1, 2), ("win", 2, 3), ("win", 3, 1),
+)
 
-    ``mine`` is the value the code itself would have as a move; ``d = mine - theirs``.
-    """
-    d = mine - theirs
-    return decision_table([
-        (needed == "draw", theirs),
-        ((needed == "win") & (theirs == 3), 1),
-        ((needed == "win") & (theirs == 1), 2),
-        ((needed == "win") & (theirs > 0), mine),
-        ((needed == "lose") & (d == -2), 2),
-        ((needed == "lose") & (theirs == 1), 3),
-        ((needed == "lose") & (d < 0), mine),
-        ((needed == "lose") & (d == 0), mine + 1),
-    ], default=0)
+
+def required_move(needed: Column, theirs: Column) -> Column:
+    """Move value that yields ``needed`` against ``theirs``; 0 when the table has no entry."""
+    rules = [(needed == "draw", theirs)]
+    rules += [((needed == result) & (theirs == opp), move) for result, opp, move in REQUIRED_MOVE]
+    return decision_table(rules, default=0)

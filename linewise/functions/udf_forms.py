@@ -13,29 +13,18 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
+from linewise.functions.rules import REQUIRED_MOVE
+
 
 @F.pandas_udf(IntegerType())
-def required_move_udf(needed: pd.Series, theirs: pd.Series, mine: pd.Series,
-                      diff: pd.Series) -> pd.Series:
-    draw, win, lose = needed == "draw", needed == "win", needed == "lose"
-    choices = [
-        (draw, theirs),
-        (win & (theirs == 3), 1),
-        (win & (theirs == 1), 2),
-        (win & (theirs > 0), mine),
-        (lose & (diff == -2), 2),
-        (lose & (theirs == 1), 3),
-        (lose & (diff < 0), mine),
-        (lose & (diff == 0), mine + 1),
-    ]
-    out = pd.Series(np.nan, index=needed.index, dtype="float64")
-    decided = pd.Series(False, index=needed.index)
-    for cond, value in choices:
-        take = cond.fillna(False).astype(bool) & ~decided
-        out[take] = value[take] if isinstance(value, pd.Series) else value
-        decided |= take
+def required_move_udf(needed: pd.Series, theirs: pd.Series) -> pd.Series:
+    """Table lookup per batch; a known result with an unknown opponent move is null."""
+    table = {(result, opp): move for result, opp, move in REQUIRED_MOVE}
+    keys = pd.MultiIndex.from_arrays([needed, theirs])
+    looked_up = pd.Series(pd.Series(table).reindex(keys).to_numpy(), index=needed.index, dtype="float64")
+    out = looked_up.where(needed != "draw", theirs)
     # A result outside draw / win / lose (including null) scores 0.
-    other = ~(draw | win | lose).fillna(False).astype(bool)
+    other = ~needed.isin(["draw", "win", "lose"])
     out[other] = 0
     return out.astype("Int32")
 

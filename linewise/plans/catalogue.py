@@ -97,16 +97,14 @@ def _dependent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q06_dependent_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _dependent(spark, sf_dir)
-    d = d.withColumn("new_play", required_move(F.col("needed_result"), F.col("opponent_points"),
-                                               F.col("my_points")))
+    d = d.withColumn("new_play", required_move(F.col("needed_result"), F.col("opponent_points")))
     return d.select("o_orderkey", "needed_result", "new_points", "point_dif", "new_play",
                     (F.col("new_play") + F.col("new_points")).alias("new_total_points"))
 
 
 def q07_udf_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _dependent(spark, sf_dir)
-    d = d.withColumn("new_play", required_move_udf("needed_result", "opponent_points", "my_points",
-                                                   "point_dif"))
+    d = d.withColumn("new_play", required_move_udf("needed_result", "opponent_points"))
     return d.select("o_orderkey", "needed_result", "new_points", "point_dif", "new_play",
                     (F.col("new_play") + F.col("new_points")).alias("new_total_points"))
 

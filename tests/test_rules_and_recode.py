@@ -23,8 +23,8 @@ def _scored(df):
         (match_points(F.col("mine"), F.col("theirs")) + F.col("mine")).alias("total_points"),
         needed.alias("needed"),
         result_points(needed).alias("new_points"),
-        required_move(needed, F.col("theirs"), F.col("mine")).alias("new_play"),
-        required_move_udf(needed, F.col("theirs"), F.col("mine"), F.col("mine") - F.col("theirs")).alias("udf_play"),
+        required_move(needed, F.col("theirs")).alias("new_play"),
+        required_move_udf(needed, F.col("theirs")).alias("udf_play"),
     )
 
 
