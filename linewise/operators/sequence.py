@@ -39,8 +39,8 @@ def _key_stats(df: DataFrame, order_by: str) -> tuple:
     """min, max and non-null count of the key in one aggregate (answered from
     parquet footers when the scan supports aggregate pushdown)."""
     row = df.agg(F.min(order_by).alias("lo"), F.max(order_by).alias("hi"),
-                 F.count(order_by).alias("n")).first()
-    return row["lo"], row["hi"], row["n"]
+                 F.count(order_by).alias("n"), F.count(F.lit(1)).alias("n_all")).first()
+    return row["lo"], row["hi"], row["n"], row["n_all"]
 
 
 def add_range_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
@@ -52,7 +52,7 @@ def add_range_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
     most ``width`` rows, about ``rows_per_bucket / d``; there are never more
     than ``max_buckets`` buckets.
     """
-    lo, hi, n = stats or _key_stats(df, order_by)
+    lo, hi, n, _ = stats or _key_stats(df, order_by)
     if lo is None:
         return df.withColumn(out, F.lit(0).cast("long"))
     n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
@@ -89,24 +89,29 @@ def add_quantile_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
 
 
 def _bucketed(df: DataFrame, order_by: list[str], bucket: str | Sequence[str] | None,
-              rows_per_bucket: int, max_buckets: int) -> tuple[DataFrame, list[str], bool]:
-    """Return (frame with bucket columns, bucket column names, bucket added here)."""
+              rows_per_bucket: int, max_buckets: int) -> tuple[DataFrame, list[str], bool, bool]:
+    """Return (frame with bucket columns, bucket column names, bucket added here,
+    whole input proven to fit one bucket)."""
     if bucket is not None:
-        return df, _names(bucket), False
+        return df, _names(bucket), False, False
     if len(order_by) != 1:
         raise ValueError("pass `bucket=` when ordering by several columns")
     key = order_by[0]
     if df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
-        lo, hi, n = stats = _key_stats(df, key)
+        lo, hi, n, n_all = stats = _key_stats(df, key)
+        if n_all <= rows_per_bucket:
+            # Every row (nulls too, which sort first) fits one bucket: the local
+            # window is already the global answer and needs no offsets.
+            return df.withColumn(_BUCKET, F.lit(0).cast("long")), [_BUCKET], True, True
         # Equal-width ranges are balanced only for a dense key: with at least one
         # row per two key values a range bucket holds <= 2 x rows_per_bucket rows.
         # A sparse or outlier-stretched key gets quantile edges instead.
         if lo is None or 2 * n >= hi - lo + 1:
             out = add_range_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets,
                                    stats=stats)
-            return out, [_BUCKET], True
+            return out, [_BUCKET], True, False
     out = add_quantile_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
-    return out, [_BUCKET], True
+    return out, [_BUCKET], True, False
 
 
 def _prefix(df: DataFrame, local_expr, bucket_total_expr, order_by, partition_by, bucket,
@@ -114,10 +119,13 @@ def _prefix(df: DataFrame, local_expr, bucket_total_expr, order_by, partition_by
     """Shared skeleton: local window result + sum of earlier bucket totals."""
     order_cols = _names(order_by)
     part_cols = _names(partition_by)
-    framed, bucket_cols, added = _bucketed(df, order_cols, bucket, rows_per_bucket, max_buckets)
+    framed, bucket_cols, added, single = _bucketed(df, order_cols, bucket, rows_per_bucket, max_buckets)
     w_local = (Window.partitionBy(*part_cols, *bucket_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = framed.withColumn(_LOCAL, local_expr(w_local))
+    if single:
+        # Proven to hold at most rows_per_bucket rows in total.
+        return local.withColumn(_OFFSET, F.lit(0).cast("long")), bucket_cols
     # Bucket totals: partial aggregation before the shuffle, one row per bucket.
     totals = framed.groupBy(*part_cols, *bucket_cols).agg(bucket_total_expr.alias(_TOTAL))
     w_off = (Window.partitionBy(*part_cols).orderBy(*bucket_cols)

@@ -127,7 +127,7 @@ def test_sparse_key_with_outlier_uses_balanced_buckets(spark):
     assert sorted((r.k, r.r) for r in got.collect()) == [(k, i + 1) for i, k in enumerate(keys)]
     # Quantile edges: no bucket holds most of the rows.
     from linewise.operators.sequence import _bucketed
-    framed, cols, _ = _bucketed(df, ["k"], None, 50, 1 << 18)
+    framed, cols, _, _ = _bucketed(df, ["k"], None, 50, 1 << 18)
     biggest = framed.groupBy(*cols).count().agg(F.max("count")).first()[0]
     assert biggest <= 100
 
