@@ -141,3 +141,11 @@ def test_one_group_spanning_many_buckets(spark):
     sizes = {r.group_id: r.n for r in g.groupBy("group_id").agg(F.count(F.lit(1)).alias("n")).collect()}
     # k=0 is a boundary, so group 1 is empty: groups 2..101, the last one holds rows 990..2999
     assert sorted(sizes) == list(range(2, 102)) and sizes[101] == 2010 and sum(sizes.values()) == n
+
+
+def test_single_bucket_path_is_exact_with_null_keys(spark):
+    df = spark.createDataFrame([(None, 5), (3, 1), (None, 2), (1, 4)], "k long, v int")
+    got = running_sum(df, "v", "k", out="r", rows_per_bucket=100)  # fits one bucket
+    vals = sorted((r.k if r.k is not None else -1, r.r) for r in got.collect())
+    # nulls sort first (their mutual order is undefined), then 1 and 3
+    assert vals[-2:] == [(1, 11), (3, 12)] and sorted(v for k, v in vals[:2]) in ([2, 7], [5, 7])
