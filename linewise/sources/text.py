@@ -61,16 +61,16 @@ def read_first_lines(spark: SparkSession, path: str | Sequence[str], n: int, *,
     """The first ``n`` lines of a text source, reading only the leading files.
 
     Files are taken in path order (the order ``read_lines`` uses) and read until
-    ``n`` lines are found, so a header block of a 100 TB folder costs one small
-    file, not a scan of the folder.  Each step counts at most the lines of one
-    file; the result is the same as ``first_lines(read_lines(...), n)``.
+    ``n`` lines are found, so a header block of a 100 TB folder costs the start
+    of one file, not a scan of the folder.  Each step counts at most the lines
+    still missing; the result is the same as ``first_lines(read_lines(...), n)``.
     """
     files = sorted(read_lines(spark, path).inputFiles())
     chosen: list[str] = []
     found = 0
     for f in files:
         chosen.append(f)
-        found += spark.read.text(f).count()
+        found += spark.read.text(f).limit(n - found).count()
         if found >= n:
             break
     if not chosen:
