@@ -22,21 +22,28 @@ from linewise.session import scratch_path
 
 
 def run_to_files(spark: SparkSession, source_dir: str, transform: Callable[[DataFrame], DataFrame], *,
-                 name: str, file_glob: str = "*.parquet", out_path: str | None = None,
-                 max_files_per_trigger: int = 1000, timeout_s: float | None = None) -> str:
-    """Stream the parquet files of ``source_dir`` matching ``file_glob`` through
+                 name: str, file_glob: str = "*.parquet", source_format: str = "parquet",
+                 out_path: str | None = None, max_files_per_trigger: int = 1000,
+                 timeout_s: float | None = None) -> str:
+    """Stream the files of ``source_dir`` matching ``file_glob`` through
     ``transform`` into a parquet folder.
 
-    Uses the ``availableNow`` trigger: everything present is processed in
-    micro-batches, then the query stops.  Returns the output folder.
+    ``source_format`` is ``"parquet"`` (schema taken from the files) or
+    ``"text"`` (one ``value`` row per line).  Uses the ``availableNow``
+    trigger: everything present is processed in micro-batches, then the query
+    stops.  Returns the output folder.
     """
-    schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
+    reader = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+              .option("pathGlobFilter", file_glob))
+    if source_format == "parquet":
+        schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
+        stream = reader.schema(schema).parquet(source_dir)
+    elif source_format == "text":
+        stream = reader.text(source_dir)
+    else:
+        raise ValueError(f"unsupported source format {source_format!r}")
     out = out_path or scratch_path(spark, f"{name}-out")
     checkpoint = out + "-checkpoint"
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", file_glob)
-              .parquet(source_dir))
     query = (transform(stream).writeStream
              .format("parquet")
              .option("path", out)

@@ -75,3 +75,25 @@ def test_streaming_run_matches_batch(spark):
     streamed = spark.read.parquet(out).groupBy("user_id").agg(F.sum("cents").alias("c"))
     batch = transform(spark.read.parquet(f"{SF01}/events.parquet")).groupBy("user_id").agg(F.sum("cents").alias("c"))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_text_stream_through_row_local_operators(spark, tmp_path):
+    from linewise.functions import intervals as iv
+    from linewise.functions.parse import delimited_ints, ints_at
+
+    src = tmp_path / "pairs"
+    src.mkdir()
+    (src / "a.txt").write_text("2-4,6-8\n2-3,4-5\n5-7,7-9\n")
+    (src / "b.txt").write_text("2-8,3-7\n6-6,4-6\n2-6,4-8\n")
+
+    def transform(lines):
+        vals = lines.select(*ints_at(delimited_ints("value"), 4))
+        return vals.select(iv.flag(iv.either_contains("val1", "val2", "val3", "val4")).alias("contained"),
+                           iv.overlap_label("val1", "val2", "val3", "val4").alias("label"))
+
+    out = run_to_files(spark, str(src), transform, name="test-text-stream", file_glob="*.txt",
+                       source_format="text", max_files_per_trigger=1, timeout_s=300)
+    got = spark.read.parquet(out)
+    assert got.count() == 6
+    assert got.agg(F.sum("contained")).first()[0] == 2
+    assert got.where(F.col("label") == "overlap").count() == 4
