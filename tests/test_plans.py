@@ -97,3 +97,22 @@ def test_text_stream_through_row_local_operators(spark, tmp_path):
     assert got.count() == 6
     assert got.agg(F.sum("contained")).first()[0] == 2
     assert got.where(F.col("label") == "overlap").count() == 4
+
+
+def test_stream_restart_processes_only_new_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("1\n2\n")
+    (src / "b.txt").write_text("3\n")
+    out = str(tmp_path / "out")
+
+    def transform(lines):
+        return lines.select(F.col("value").try_cast("int").alias("v"))
+
+    run_to_files(spark, str(src), transform, name="restart", file_glob="*.txt", source_format="text",
+                 out_path=out, timeout_s=300)
+    (src / "c.txt").write_text("4\n5\n")
+    # Same checkpoint: the committed files are not read again.
+    run_to_files(spark, str(src), transform, name="restart", file_glob="*.txt", source_format="text",
+                 out_path=out, timeout_s=300)
+    assert sorted(r.v for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4, 5]
