@@ -192,7 +192,11 @@ def q12b_batch_common_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    li = spread_small_input(li, ["l_orderkey", "l_linenumber"])
+    return _interval_columns(spread_small_input(li, ["l_orderkey", "l_linenumber"]))
+
+
+def _interval_columns(li: DataFrame) -> DataFrame:
+    """Row-local: works on a batch or a streaming lineitem frame."""
     a = F.col("l_quantity").cast("int")
     b = F.round(F.col("l_discount") * 100).cast("int") * 5
     c = F.col("l_linenumber") * 7
@@ -435,3 +439,20 @@ def q27_stream_score_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["q27_stream_score_totals"] = q27_stream_score_totals
+
+
+def q29_stream_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q14 as a stateful streaming aggregation over a lineitem file stream."""
+    from linewise.streaming.files import run_totals
+
+    def labelled(li: DataFrame) -> DataFrame:
+        pairs = _interval_columns(li)
+        return pairs.withColumn("label", iv.overlap_label("val1", "val2", "val3", "val4"))
+
+    out = run_totals(spark, sf_dir, labelled, ["label"],
+                     {"n_pairs": F.count(F.lit(1)), "n_contained": F.sum("contained")},
+                     name="stream-labels", file_glob="lineitem.parquet")
+    return spark.read.parquet(out)
+
+
+QUERIES["q29_stream_overlap_label_counts"] = q29_stream_overlap_label_counts

@@ -250,4 +250,5 @@ SELECT line_no, value,
        CASE WHEN length(value) > 5 THEN substr(value, 6, 1) END AS list5,
        CASE WHEN length(value) > 9 THEN substr(value, 10, 1) END AS list9
 FROM h""",
+    "q29_stream_overlap_label_counts": _INTERVALS + _OVERLAP_COUNTS,
 }

@@ -14,13 +14,35 @@ sink writes every batch exactly once.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from linewise.session import scratch_path
 
 
+def file_stream(spark: SparkSession, source_dir: str, *, file_glob: str = "*.parquet",
+                source_format: str = "parquet", max_files_per_trigger: int = 1000) -> DataFrame:
+    """A streaming DataFrame over the files of ``source_dir`` matching ``file_glob``."""
+    reader = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+              .option("pathGlobFilter", file_glob))
+    if source_format == "parquet":
+        schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
+        return reader.schema(schema).parquet(source_dir)
+    if source_format == "text":
+        return reader.text(source_dir)
+    raise ValueError(f"unsupported source format {source_format!r}")
+
+
+def _await(query, name: str, timeout_s: float | None) -> None:
+    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+    if finished is False:
+        query.stop()
+        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def run_to_files(spark: SparkSession, source_dir: str, transform: Callable[[DataFrame], DataFrame], *,
                  name: str, file_glob: str = "*.parquet", source_format: str = "parquet",
                  out_path: str | None = None, max_files_per_trigger: int = 1000,
@@ -33,28 +55,46 @@ def run_to_files(spark: SparkSession, source_dir: str, transform: Callable[[Data
     trigger: everything present is processed in micro-batches, then the query
     stops.  Returns the output folder.
     """
-    reader = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", file_glob))
-    if source_format == "parquet":
-        schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
-        stream = reader.schema(schema).parquet(source_dir)
-    elif source_format == "text":
-        stream = reader.text(source_dir)
-    else:
-        raise ValueError(f"unsupported source format {source_format!r}")
+    stream = file_stream(spark, source_dir, file_glob=file_glob, source_format=source_format,
+                         max_files_per_trigger=max_files_per_trigger)
     out = out_path or scratch_path(spark, f"{name}-out")
-    checkpoint = out + "-checkpoint"
     query = (transform(stream).writeStream
              .format("parquet")
              .option("path", out)
-             .option("checkpointLocation", checkpoint)
+             .option("checkpointLocation", out + "-checkpoint")
              .outputMode("append")
              .trigger(availableNow=True)
              .start())
-    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
-    if finished is False:
-        query.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
-    if query.exception() is not None:
-        raise query.exception()
+    _await(query, name, timeout_s)
+    return out
+
+
+def run_totals(spark: SparkSession, source_dir: str, transform: Callable[[DataFrame], DataFrame],
+               keys: Sequence[str], aggs: Mapping[str, Column], *, name: str, file_glob: str = "*.parquet",
+               source_format: str = "parquet", out_path: str | None = None,
+               max_files_per_trigger: int = 1000, timeout_s: float | None = None) -> str:
+    """A stateful streaming aggregation: running totals per key over a file stream.
+
+    The grouped state lives in the state store under the checkpoint, so a
+    restarted query continues the totals.  Each micro-batch writes the complete
+    current table with ``foreachBatch`` (overwrite, so a replayed batch is
+    idempotent).  Complete mode re-emits every key each batch: meant for key
+    sets of bounded size (labels, codes), not for data-sized keys.
+    Returns the folder holding the latest totals.
+    """
+    stream = file_stream(spark, source_dir, file_glob=file_glob, source_format=source_format,
+                         max_files_per_trigger=max_files_per_trigger)
+    totals = transform(stream).groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    out = out_path or scratch_path(spark, f"{name}-totals")
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    query = (totals.writeStream
+             .outputMode("complete")
+             .foreachBatch(write_batch)
+             .option("checkpointLocation", out + "-checkpoint")
+             .trigger(availableNow=True)
+             .start())
+    _await(query, name, timeout_s)
     return out

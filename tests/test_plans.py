@@ -116,3 +116,21 @@ def test_stream_restart_processes_only_new_files(spark, tmp_path):
     run_to_files(spark, str(src), transform, name="restart", file_glob="*.txt", source_format="text",
                  out_path=out, timeout_s=300)
     assert sorted(r.v for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_stateful_totals_continue_after_restart(spark, tmp_path):
+    from linewise.streaming.files import run_totals
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("x\ny\nx\n")
+    out = str(tmp_path / "totals")
+
+    def run():
+        return run_totals(spark, str(src), lambda lines: lines, ["value"], {"n": F.count(F.lit(1))},
+                          name="totals", file_glob="*.txt", source_format="text", out_path=out, timeout_s=300)
+
+    run()
+    (src / "b.txt").write_text("y\nz\n")
+    run()  # state restored from the checkpoint; a.txt is not counted twice
+    assert sorted((r.value, r.n) for r in spark.read.parquet(out).collect()) == [("x", 2), ("y", 2), ("z", 1)]
