@@ -416,7 +416,8 @@ def q29_stream_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFra
 
     out = run_totals(spark, sf_dir, labelled, ["label"],
                      {"n_pairs": F.count(F.lit(1)), "n_contained": F.sum("contained")},
-                     name="stream-labels", file_glob="lineitem.parquet")
+                     name="stream-labels", file_glob="lineitem.parquet",
+                     state_partitions=4)  # two labels: a few state partitions suffice
     return spark.read.parquet(out)
 
 

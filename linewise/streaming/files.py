@@ -72,7 +72,8 @@ def run_to_files(spark: SparkSession, source_dir: str, transform: Callable[[Data
 def run_totals(spark: SparkSession, source_dir: str, transform: Callable[[DataFrame], DataFrame],
                keys: Sequence[str], aggs: Mapping[str, Column], *, name: str, file_glob: str = "*.parquet",
                source_format: str = "parquet", out_path: str | None = None,
-               max_files_per_trigger: int = 1000, timeout_s: float | None = None) -> str:
+               max_files_per_trigger: int = 1000, state_partitions: int | None = None,
+               timeout_s: float | None = None) -> str:
     """A stateful streaming aggregation: running totals per key over a file stream.
 
     The grouped state lives in the state store under the checkpoint, so a
@@ -80,7 +81,9 @@ def run_totals(spark: SparkSession, source_dir: str, transform: Callable[[DataFr
     current table with ``foreachBatch`` (overwrite, so a replayed batch is
     idempotent).  Complete mode re-emits every key each batch: meant for key
     sets of bounded size (labels, codes), not for data-sized keys.
-    Returns the folder holding the latest totals.
+    ``state_partitions`` sets the number of state-store partitions when the
+    checkpoint is new (Spark pins it there); by default the session's shuffle
+    partition count is used.  Returns the folder holding the latest totals.
     """
     stream = file_stream(spark, source_dir, file_glob=file_glob, source_format=source_format,
                          max_files_per_trigger=max_files_per_trigger)
@@ -90,11 +93,18 @@ def run_totals(spark: SparkSession, source_dir: str, transform: Callable[[DataFr
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
-    query = (totals.writeStream
-             .outputMode("complete")
-             .foreachBatch(write_batch)
-             .option("checkpointLocation", out + "-checkpoint")
-             .trigger(availableNow=True)
-             .start())
+    writer = (totals.writeStream
+              .outputMode("complete")
+              .foreachBatch(write_batch)
+              .option("checkpointLocation", out + "-checkpoint")
+              .trigger(availableNow=True))
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        # The stream clones the session conf when it starts.
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     _await(query, name, timeout_s)
     return out
