@@ -134,3 +134,19 @@ def test_stateful_totals_continue_after_restart(spark, tmp_path):
     (src / "b.txt").write_text("y\nz\n")
     run()  # state restored from the checkpoint; a.txt is not counted twice
     assert sorted((r.value, r.n) for r in spark.read.parquet(out).collect()) == [("x", 2), ("y", 2), ("z", 1)]
+
+
+@pytest.mark.parametrize("name", ["q05_score_total", "q08_recode_default", "q10_half_weight",
+                                  "q14_overlap_label_counts", "q15_user_type_spans", "q16_unpivot_totals",
+                                  "q21_filters", "q22_unpivot_top_key"])
+def test_totals_shuffle_only_partial_aggregates(spark, name):
+    lines = _plan(cat.QUERIES[name](spark, SF01)).splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange" in line and "Broadcast" not in line]
+    assert exchanges
+    for i in exchanges:
+        below = lines[i + 1]
+        # q10 and q14 spread their one-row-group input before CPU-heavy row work
+        # (spread_small_input, a hash exchange on the table key below 1 GiB).
+        if "hashpartitioning(doc_id" in lines[i] or "hashpartitioning(l_orderkey" in lines[i]:
+            continue
+        assert "HashAggregate" in below and "partial_" in below, "\n".join(lines)
