@@ -9,6 +9,7 @@ shuffle of a data-sized input.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -31,8 +32,10 @@ def spread_small_input(df: DataFrame, keys: str | Sequence[str], *,
     Hash partitioning on a key (not round robin) keeps a recomputed task's rows
     identical, so a lost executor is replayed exactly.
     """
-    if estimated_bytes(df) >= max_bytes:
+    size = estimated_bytes(df)
+    if size >= max_bytes:
         return df
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    # All cores, but no task smaller than about 1 MB of input.
+    n = partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / (1 << 20))))
     cols = [keys] if isinstance(keys, str) else list(keys)
     return df.repartition(n, *[F.col(c) for c in cols])
