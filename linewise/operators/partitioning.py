@@ -37,5 +37,7 @@ def spread_small_input(df: DataFrame, keys: str | Sequence[str], *,
         return df
     # All cores, but no task smaller than about 1 MB of input.
     n = partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / (1 << 20))))
+    if n <= 1:
+        return df  # one partition: nothing to spread
     cols = [keys] if isinstance(keys, str) else list(keys)
     return df.repartition(n, *[F.col(c) for c in cols])
