@@ -149,3 +149,14 @@ def test_single_bucket_path_is_exact_with_null_keys(spark):
     vals = sorted((r.k if r.k is not None else -1, r.r) for r in got.collect())
     # nulls sort first (their mutual order is undefined), then 1 and 3
     assert vals[-2:] == [(1, 11), (3, 12)] and sorted(v for k, v in vals[:2]) in ([2, 7], [5, 7])
+
+
+def test_quantile_path_keeps_null_keys_first(spark):
+    rng = random.Random(3)
+    data = [(rng.random() * 1000, 1) for _ in range(200)] + [(None, 1)] * 3
+    df = spark.createDataFrame(data, "k double, v int")
+    got = running_sum(df, "v", "k", out="r", rows_per_bucket=20)
+    rows = sorted(got.collect(), key=lambda r: (r.k is not None, r.k or 0))
+    # three null keys first (running 1..3 in some order), then 4..203 along k
+    assert sorted(r.r for r in rows[:3]) == [1, 2, 3]
+    assert [r.r for r in rows[3:]] == list(range(4, 204))
