@@ -33,7 +33,8 @@ def recode_join(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_value
          .groupBy("__lw_k").agg(F.min("__lw_v").alias("__lw_v")))
     # The raw row count bounds the deduplicated one; the limit stops the count
     # as soon as the bound is exceeded, so a huge dictionary is not scanned.
-    small = estimated_bytes(dim.select(dim_key, dim_value)) <= max_broadcast_bytes
+    planned = estimated_bytes(dim.select(dim_key, dim_value))
+    small = planned is not None and planned <= max_broadcast_bytes
     if small and dim.select(dim_key).limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         d = F.broadcast(d)
     joined = df.join(d, df[key] == d["__lw_k"], "left")

@@ -18,9 +18,16 @@ from pyspark.sql import functions as F
 DEFAULT_SPREAD_MAX_BYTES = 1 << 30
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan (file sizes for a scan)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimised plan (file sizes for a scan).
+
+    None when the session does not expose plan statistics (Spark Connect);
+    callers then take the conservative path.
+    """
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:
+        return None
     return int(size) if isinstance(size, int) else int(size.toString())
 
 
@@ -33,7 +40,7 @@ def spread_small_input(df: DataFrame, keys: str | Sequence[str], *,
     identical, so a lost executor is replayed exactly.
     """
     size = estimated_bytes(df)
-    if size >= max_bytes:
+    if size is None or size >= max_bytes:
         return df
     # All cores, but no task smaller than about 1 MB of input.
     n = partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / (1 << 20))))
