@@ -71,3 +71,19 @@ def test_recode_default_and_letter_weights(spark):
     got = df.select(recode("c", {"a": "x"}, default="Unknown").alias("r"), letter_weight("c").alias("w")).collect()
     assert [(r.r, r.w) for r in got] == [("x", 1), ("Unknown", 52), ("Unknown", None), ("Unknown", None)]
     assert len(LETTER_WEIGHTS) == 52 and LETTER_WEIGHTS["z"] == 26 and LETTER_WEIGHTS["A"] == 27
+
+
+def test_udf_forms_on_all_null_batches(spark):
+    from linewise.functions.udf_forms import overlap_label_udf
+
+    df = spark.createDataFrame([(None, None)] * 5, "needed string, theirs int")
+    got = df.select(required_move_udf("needed", "theirs").alias("m"),
+                    required_move(F.col("needed"), F.col("theirs")).alias("c")).collect()
+    assert all(r.m == 0 and r.c == 0 for r in got)
+    ints = spark.createDataFrame([(None, None, None, None)] * 3, "a int, b int, c int, d int")
+    assert [r.l for r in ints.select(overlap_label_udf("a", "b", "c", "d").alias("l")).collect()] == [None] * 3
+    win = spark.createDataFrame([("win", None), ("draw", None), ("lose", 2)], "needed string, theirs int")
+    got = [(r.m, r.c) for r in win.select(required_move_udf("needed", "theirs").alias("m"),
+                                          required_move(F.col("needed"), F.col("theirs")).alias("c")).collect()]
+    # unknown opponent move: the UDF form leaves it null, the table form falls to its default 0 (draw repeats null)
+    assert got == [(None, 0), (None, None), (1, 1)]
