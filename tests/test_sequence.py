@@ -160,3 +160,17 @@ def test_quantile_path_keeps_null_keys_first(spark):
     # three null keys first (running 1..3 in some order), then 4..203 along k
     assert sorted(r.r for r in rows[:3]) == [1, 2, 3]
     assert [r.r for r in rows[3:]] == list(range(4, 204))
+
+
+def test_hot_partition_key_is_split_across_buckets(spark):
+    # user 0 holds a third of the rows; its running sum must still be exact and
+    # its rows must land in several (user, bucket) window partitions.
+    rows = [(0 if k % 3 == 0 else 1 + k % 50, k, 1) for k in range(3000)]
+    df = spark.createDataFrame(rows, "u int, k long, v int")
+    got = running_sum(df, "v", "k", out="r", partition_by="u", rows_per_bucket=64)
+    w = Window.partitionBy("u").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    expected = df.withColumn("e", F.sum("v").over(w))
+    assert got.join(expected, ["u", "k"]).where(F.col("r") != F.col("e")).count() == 0
+    from linewise.operators.sequence import _bucketed
+    framed, cols, _, _ = _bucketed(df, ["k"], None, 64, 1 << 18)
+    assert framed.where("u = 0").select(*cols).distinct().count() > 10
