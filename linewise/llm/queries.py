@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import decontaminate, fair_mix, jaccard_join, licences, recompression, suffix_repeats, weak_quality
+from linewise.llm import (decontaminate, fair_mix, jaccard_join, licences, recompression, rp_forest, suffix_repeats,
+                          toxicity, warc_bundles, weak_quality)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,10 +32,23 @@ def op4_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality.score_quality(_read(spark, sf_dir, "documents"))
 
 
+def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.warc_round_trip(_read(spark, sf_dir, "pages"), least_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_repeats.dedup_bytes(_read(spark, sf_dir, "documents"), width=400)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.dedup_words(_read(spark, sf_dir, "documents"), width=13).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
@@ -50,7 +64,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licence_scan": op2_licence_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_weak_quality": op4_weak_quality,
+    "op5_warc_bundles": op5_warc_bundles,
+    "op6_rp_forest": op6_rp_forest,
     "op7_suffix_repeats": op7_suffix_repeats,
+    "op8_toxicity": op8_toxicity,
     "op9_recompression": op9_recompression,
     "op10_fair_mix": op10_fair_mix,
 }
