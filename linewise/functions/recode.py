@@ -15,10 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Letter weights a..z -> 1..26, A..Z -> 27..52.
-LETTER_WEIGHTS: dict[str, int] = {
-    **{ch: i + 1 for i, ch in enumerate(string.ascii_lowercase)},
-    **{ch: i + 27 for i, ch in enumerate(string.ascii_uppercase)},
-}
+LETTER_WEIGHTS: dict[str, int] = dict(zip(string.ascii_letters, range(1, 53)))
 
 
 def map_literal(mapping: Mapping) -> Column:

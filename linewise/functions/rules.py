@@ -38,34 +38,28 @@ def lookup_rules(c: Column | str, pairs: Sequence[tuple[object, object]], defaul
 
 # --- the scoring rules of the code-pair game --------------------------------
 # A move is worth 1, 2 or 3 points; a loss scores 0, a draw 3 and
-# a win 6.  With d = my points - opponent points, the rules in this order are:
-# d == 0 -> 3, d == 2 -> 0, d > 0 -> 6, d == -2 -> 6, d < 0 -> 0.
-OUTCOME_RULES: tuple[tuple[str, int, int], ...] = (
-    ("==", 0, 3),
-    ("==", 2, 0),
-    (">", 0, 6),
-    ("==", -2, 6),
-    ("<", 0, 0),
-)
-
-# Wanted result per code position 1/2/3 and its points.
-RESULT_BY_CODE: tuple[tuple[int, str], ...] = ((1, "lose"), (2, "draw"), (3, "win"))
-RESULT_POINTS: tuple[tuple[str, int], ...] = (("draw", 3), ("lose", 0), ("win", 6))
+# a win 6; the code positions 1, 2, 3 want a loss, a draw, a win.
+SCORE = {"lose": 0, "draw": 3, "win": 6}
+WANTED = ("lose", "draw", "win")
+MOVES = 3
 
 
 def match_points(mine: Column, theirs: Column) -> Column:
-    """Outcome points of one round from the two move values (null if either is null)."""
-    d = mine - theirs
-    ops = {"==": lambda a, b: a == b, ">": lambda a, b: a > b, "<": lambda a, b: a < b}
-    return decision_table([(ops[op](d, F.lit(x)), pts) for op, x, pts in OUTCOME_RULES])
+    """Outcome points of one round from the two move values (null if either is null).
+
+    Each move beats the one before it in the circle 1, 2, 3, so how far my move
+    is ahead (modulo 3) decides: 0 a draw, 1 a win, 2 a loss.
+    """
+    ahead = F.pmod(mine - theirs, F.lit(MOVES))
+    return lookup_rules(ahead, [(0, SCORE["draw"]), (1, SCORE["win"]), (2, SCORE["lose"])])
 
 
 def needed_result(code_points: Column) -> Column:
-    return lookup_rules(code_points, RESULT_BY_CODE)
+    return lookup_rules(code_points, list(enumerate(WANTED, 1)))
 
 
 def result_points(needed: Column) -> Column:
-    return lookup_rules(needed, RESULT_POINTS)
+    return lookup_rules(needed, list(SCORE.items()))
 
 
 # The move (1, 2, 3) that gives the wanted result against the

@@ -18,11 +18,11 @@ from linewise.functions.rules import REQUIRED_MOVE
 
 @F.pandas_udf(IntegerType())
 def required_move_udf(needed: pd.Series, theirs: pd.Series) -> pd.Series:
-    """Table lookup per batch; a known result with an unknown opponent move is null."""
+    """Table lookup per batch; like the CASE form, 0 where the table has no entry."""
     table = {(result, opp): move for result, opp, move in REQUIRED_MOVE}
     keys = pd.MultiIndex.from_arrays([needed, theirs])
     looked_up = pd.Series(pd.Series(table).reindex(keys).to_numpy(), index=needed.index, dtype="float64")
-    out = looked_up.where(needed != "draw", theirs)
+    out = looked_up.fillna(0).where(needed != "draw", theirs)
     # A result outside draw / win / lose (including null) scores 0.
     other = ~needed.isin(["draw", "win", "lose"])
     out[other] = 0

@@ -30,7 +30,8 @@ def recode_join(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_value
     """
     d = (dim.select(F.col(dim_key).alias("__lw_k"), F.col(dim_value).alias("__lw_v"))
          .where(F.col("__lw_k").isNotNull())
-         .groupBy("__lw_k").agg(F.min("__lw_v").alias("__lw_v")))
+         .groupBy("__lw_k").agg(F.min("__lw_v").alias("__lw_v"))
+         .withColumn("__lw_found", F.lit(True)))
     # The raw row count bounds the deduplicated one; the limit stops the count
     # as soon as the bound is exceeded, so a huge dictionary is not scanned.
     planned = estimated_bytes(dim.select(dim_key, dim_value))
@@ -38,5 +39,5 @@ def recode_join(df: DataFrame, key: str, dim: DataFrame, dim_key: str, dim_value
     if small and dim.select(dim_key).limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
         d = F.broadcast(d)
     joined = df.join(d, df[key] == d["__lw_k"], "left")
-    value = F.col("__lw_v") if default is None else F.coalesce(F.col("__lw_v"), F.lit(default))
-    return joined.withColumn(out, value).drop("__lw_k", "__lw_v")
+    value = F.col("__lw_v") if default is None else F.when(F.col("__lw_found"), F.col("__lw_v")).otherwise(F.lit(default))
+    return joined.withColumn(out, value).drop("__lw_k", "__lw_v", "__lw_found")

@@ -1,21 +1,8 @@
-"""Spreading a small input over the cluster before CPU-heavy row work.
-
-A parquet row group is never split, so a small table stored as one row group
-is read by one task, and per-row work on it (splitting whole texts into
-characters) runs on one core.  Large inputs are many row groups and files and
-are already spread by the scan; for them this is a no-op, so it never adds a
-shuffle of a data-sized input.
-"""
+"""Planned sizes of inputs."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_SPREAD_MAX_BYTES = 1 << 30
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -29,22 +16,3 @@ def estimated_bytes(df: DataFrame) -> int | None:
     except Exception:
         return None
     return int(size) if isinstance(size, int) else int(size.toString())
-
-
-def spread_small_input(df: DataFrame, keys: str | Sequence[str], *,
-                       max_bytes: int = DEFAULT_SPREAD_MAX_BYTES,
-                       partitions: int | None = None) -> DataFrame:
-    """Hash-repartition ``df`` on ``keys`` when its estimated size is below ``max_bytes``.
-
-    Hash partitioning on a key (not round robin) keeps a recomputed task's rows
-    identical, so a lost executor is replayed exactly.
-    """
-    size = estimated_bytes(df)
-    if size is None or size >= max_bytes:
-        return df
-    # All cores, but no task smaller than about 1 MB of input.
-    n = partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / (1 << 20))))
-    if n <= 1:
-        return df  # one partition: nothing to spread
-    cols = [keys] if isinstance(keys, str) else list(keys)
-    return df.repartition(n, *[F.col(c) for c in cols])

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "__lw_bucket"
+_KEY = "__lw_key"
 _VALUE = "__lw_value"
 _LOCAL = "__lw_local"
 _TOTAL = "__lw_total"
@@ -27,6 +28,8 @@ _OFFSET = "__lw_offset"
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 16
 DEFAULT_MAX_BUCKETS = 1 << 18
+#: Buckets at most for keys (strings, ...) that are cut by sampled edges.
+MAX_SAMPLED_BUCKETS = 256
 
 
 def _names(cols: str | Sequence[str] | None) -> list[str]:
@@ -66,11 +69,12 @@ def add_range_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
 def add_quantile_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
                         rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
                         max_buckets: int = DEFAULT_MAX_BUCKETS,
-                        relative_error: float = 1e-4) -> DataFrame:
+                        relative_error: float | None = None) -> DataFrame:
     """Bucket a numeric order key by approximate quantile edges.
 
     For keys whose values cluster (timestamps in bursts, sparse ids) equal-width
     ranges would be unbalanced; quantile edges keep buckets near equal in rows.
+    The error is a quarter of a bucket unless given.
     """
     from pyspark.ml.feature import Bucketizer
 
@@ -78,7 +82,7 @@ def add_quantile_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
     n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     keyed = df.withColumn("__lw_key_d", F.col(order_by).cast("double"))
-    edges = sorted(set(keyed.approxQuantile("__lw_key_d", probs, relative_error))) if probs else []
+    edges = sorted(set(keyed.approxQuantile("__lw_key_d", probs, relative_error or max(1e-6, 0.25 / n_buckets)))) if probs else []
     if not edges:
         return df.withColumn(out, F.when(F.col(order_by).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
     splits = [-math.inf] + edges + [math.inf]
@@ -88,54 +92,90 @@ def add_quantile_bucket(df: DataFrame, order_by: str, *, out: str = _BUCKET,
     return bucketed.withColumn(out, bucket).drop("__lw_key_d")
 
 
+def _integral(df: DataFrame, key: str):
+    """An integer expression in the key's order (integers, dates and timestamps), or None."""
+    kind = df.schema[key].dataType.typeName()
+    if kind in ("long", "integer", "short", "byte"):
+        return F.col(key).cast("long")
+    if kind == "date":
+        return F.unix_date(key).cast("long")
+    if kind == "timestamp":
+        return F.unix_micros(key)
+    if kind == "timestamp_ntz":
+        return F.unix_micros(F.to_utc_timestamp(F.col(key).cast("string").cast("timestamp"), F.current_timezone()))
+    return None
+
+
+def _sampled_bucket(df: DataFrame, key: str, out: str, rows_per_bucket: int) -> DataFrame:
+    """Bucket any other sortable key by edges from a bounded hash sample of its values."""
+    n = df.count()
+    n_buckets = max(1, min(MAX_SAMPLED_BUCKETS, math.ceil(n / rows_per_bucket)))
+    top = max(1, int(min(1 << 30, 64 * n_buckets / max(1, n) * (1 << 30))))
+    sample = (df.select(key).where(F.col(key).isNotNull())
+              .where(F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.lit(1 << 30)) < top)
+              .orderBy(key).limit(128 * n_buckets).collect())
+    values = [r[0] for r in sample]
+    edges = sorted({values[len(values) * k // n_buckets] for k in range(1, n_buckets)}) if values else []
+
+    def pick(lo: int, hi: int):
+        # A balanced tree of comparisons: bucket k holds edges[k-1] <= key < edges[k].
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(F.col(key) < F.lit(edges[mid]), pick(lo, mid)).otherwise(pick(mid + 1, hi))
+
+    return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1).cast("long")).otherwise(pick(0, len(edges))))
+
+
 def _bucketed(df: DataFrame, order_by: list[str], bucket: str | Sequence[str] | None,
-              rows_per_bucket: int, max_buckets: int) -> tuple[DataFrame, list[str], bool, bool]:
-    """Return (frame with bucket columns, bucket column names, bucket added here,
-    whole input proven to fit one bucket)."""
+              rows_per_bucket: int, max_buckets: int) -> tuple[DataFrame, list[str], bool]:
+    """Return (frame with bucket columns, bucket column names, bucket added here).
+
+    Only the first order column is bucketed; rows that tie on it share a bucket.
+    """
     if bucket is not None:
-        return df, _names(bucket), False, False
-    if len(order_by) != 1:
-        raise ValueError("pass `bucket=` when ordering by several columns")
+        return df, _names(bucket), False
     key = order_by[0]
-    if df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
-        lo, hi, n, n_all = stats = _key_stats(df, key)
-        if n_all <= rows_per_bucket:
-            # Every row (nulls too, which sort first) fits one bucket: the local
-            # window is already the global answer and needs no offsets.
-            return df.withColumn(_BUCKET, F.lit(0).cast("long")), [_BUCKET], True, True
+    kind = df.schema[key].dataType.typeName()
+    whole = _integral(df, key)
+    if whole is not None:
+        framed = df.withColumn(_KEY, whole)
+        lo, hi, n, _ = stats = _key_stats(framed, _KEY)
         # Equal-width ranges are balanced only for a dense key: with at least one
         # row per two key values a range bucket holds <= 2 x rows_per_bucket rows.
         # A sparse or outlier-stretched key gets quantile edges instead.
-        if lo is None or 2 * n >= hi - lo + 1:
-            out = add_range_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets,
-                                   stats=stats)
-            return out, [_BUCKET], True, False
-    out = add_quantile_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets)
-    return out, [_BUCKET], True, False
+        dense = lo is None or 2 * n >= hi - lo + 1
+        add = add_range_bucket if dense else add_quantile_bucket
+        extra = {"stats": stats} if dense else {}
+        out = add(framed, _KEY, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets, **extra)
+        return out.drop(_KEY), [_BUCKET], True
+    if kind in ("double", "float") or kind.startswith("decimal"):
+        return add_quantile_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets), [_BUCKET], True
+    return _sampled_bucket(df, key, _BUCKET, rows_per_bucket), [_BUCKET], True
 
 
 def _prefix(df: DataFrame, local_expr, bucket_total_expr, order_by, partition_by, bucket,
             rows_per_bucket, max_buckets):
-    """Shared skeleton: local window result + sum of earlier bucket totals."""
+    """Shared skeleton: local window result + total of earlier buckets (null before the first value)."""
     order_cols = _names(order_by)
     part_cols = _names(partition_by)
-    framed, bucket_cols, added, single = _bucketed(df, order_cols, bucket, rows_per_bucket, max_buckets)
+    framed, bucket_cols, added = _bucketed(df, order_cols, bucket, rows_per_bucket, max_buckets)
     w_local = (Window.partitionBy(*part_cols, *bucket_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = framed.withColumn(_LOCAL, local_expr(w_local))
-    if single:
-        # Proven to hold at most rows_per_bucket rows in total.
-        return local.withColumn(_OFFSET, F.lit(0).cast("long")), bucket_cols
     # Bucket totals: partial aggregation before the shuffle, one row per bucket.
-    totals = framed.groupBy(*part_cols, *bucket_cols).agg(bucket_total_expr.alias(_TOTAL))
+    keys = [*part_cols, *bucket_cols]
+    totals = framed.groupBy(*keys).agg(bucket_total_expr.alias(_TOTAL))
     w_off = (Window.partitionBy(*part_cols).orderBy(*bucket_cols)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*part_cols, *bucket_cols,
-                            F.coalesce(F.sum(_TOTAL).over(w_off), F.lit(0)).alias(_OFFSET))
+    offsets = totals.select(*[F.col(k).alias(f"__lw_o{i}") for i, k in enumerate(keys)],
+                            F.sum(_TOTAL).over(w_off).alias(_OFFSET))
     if not part_cols and added:
         # At most max_buckets rows: a proven bound, so broadcasting is safe.
         offsets = F.broadcast(offsets)
-    joined = local.join(offsets, on=[*part_cols, *bucket_cols], how="inner")
+    # Null-safe: a null partition or bucket is a key like any other.
+    same = [F.col(k).eqNullSafe(F.col(f"__lw_o{i}")) for i, k in enumerate(keys)]
+    joined = local.join(offsets, on=same, how="inner").drop(*[f"__lw_o{i}" for i in range(len(keys))])
     return joined, bucket_cols if added else []
 
 
@@ -149,7 +189,8 @@ def running_sum(df: DataFrame, value: Column | str, order_by: str | Sequence[str
     ``order_by`` must be unique (within ``partition_by``); ties have no defined
     running sum.  ``bucket`` may name columns that are non-decreasing along the
     order (for example a file and its split start); otherwise buckets are
-    derived from the order key.  Null values add 0, like SQL ``SUM``.
+    derived from the first order column.  Null values add nothing, as in SQL: the
+    sum is null until the first value that is not null.
     """
     v = F.col(value) if isinstance(value, str) else value
     framed = df.withColumn(_VALUE, v)
@@ -159,7 +200,9 @@ def running_sum(df: DataFrame, value: Column | str, order_by: str | Sequence[str
         F.sum(_VALUE),
         order_by, partition_by, bucket, rows_per_bucket, max_buckets,
     )
-    result = joined.withColumn(out, F.col(_LOCAL) + F.col(_OFFSET))
+    zero = F.lit(0)
+    result = joined.withColumn(out, F.when(F.col(_LOCAL).isNotNull() | F.col(_OFFSET).isNotNull(),
+                                           F.coalesce(_LOCAL, zero) + F.coalesce(_OFFSET, zero)))
     return result.drop(_VALUE, _LOCAL, _OFFSET, *extra)
 
 
@@ -175,7 +218,7 @@ def row_number(df: DataFrame, order_by: str | Sequence[str], *, out: str = "row_
         F.count(F.lit(1)),
         order_by, partition_by, bucket, rows_per_bucket, max_buckets,
     )
-    result = joined.withColumn(out, (F.col(_LOCAL) + F.col(_OFFSET)).cast("long"))
+    result = joined.withColumn(out, (F.col(_LOCAL) + F.coalesce(F.col(_OFFSET), F.lit(0))).cast("long"))
     return result.drop(_LOCAL, _OFFSET, *extra)
 
 

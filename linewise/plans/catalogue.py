@@ -19,7 +19,6 @@ from linewise.functions.udf_forms import overlap_label_udf, required_move_udf
 from linewise.operators.columns import drop_columns, prefix_columns, rename_columns
 from linewise.operators.group_sets import group_common_elements
 from linewise.operators.lookup import recode_join
-from linewise.operators.partitioning import spread_small_input
 from linewise.operators.reshape import unpivot_long, unpivot_totals
 from linewise.operators.sequence import batch_rows, boundary_groups
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
@@ -122,8 +121,8 @@ def q08_recode_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- array sets over text
 
 def _documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    """Documents for whole-text character work, spread over all cores when small."""
-    return spread_small_input(load(spark, sf_dir, "documents").select("doc_id", *cols), "doc_id")
+    """Documents for whole-text character work."""
+    return load(spark, sf_dir, "documents").select("doc_id", *cols)
 
 
 def _halves(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -192,7 +191,7 @@ def q12b_batch_common_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    return _interval_columns(spread_small_input(li, ["l_orderkey", "l_linenumber"]))
+    return _interval_columns(li)
 
 
 def _interval_columns(li: DataFrame) -> DataFrame:
@@ -408,7 +407,7 @@ def q27_stream_score_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q29_stream_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """q14 as a stateful streaming aggregation over a lineitem file stream."""
-    from linewise.streaming.files import run_totals
+    from linewise.streaming.files import read_totals, run_totals
 
     def labelled(li: DataFrame) -> DataFrame:
         pairs = _interval_columns(li)
@@ -418,7 +417,7 @@ def q29_stream_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFra
                      {"n_pairs": F.count(F.lit(1)), "n_contained": F.sum("contained")},
                      name="stream-labels", file_glob="lineitem.parquet",
                      state_partitions=4)  # two labels: a few state partitions suffice
-    return spark.read.parquet(out)
+    return read_totals(spark, out)
 
 
 QUERIES = {

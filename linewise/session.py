@@ -46,13 +46,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can see, taken from ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder.  Only when it
-    is unset (local tests) a fresh local folder is made and registered, so a
-    later call and ``DataFrame.checkpoint()`` use the same place.
+    On a cluster this setting must name a shared file system folder: without it
+    this raises, since executors do not see each other's local folders.  With a
+    local master (tests) a fresh local folder is made and registered, so a later
+    call and ``DataFrame.checkpoint()`` use the same place.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="linewise-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

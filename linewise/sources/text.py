@@ -10,6 +10,7 @@ split is at most ``spark.sql.files.maxPartitionBytes`` of text.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,7 +66,8 @@ def read_first_lines(spark: SparkSession, path: str | Sequence[str], n: int, *,
     of one file, not a scan of the folder.  Each step counts at most the lines
     still missing; the result is the same as ``first_lines(read_lines(...), n)``.
     """
-    files = sorted(read_lines(spark, path).inputFiles())
+    # inputFiles gives URIs; readers take paths.
+    files = sorted(unquote(f) for f in read_lines(spark, path).inputFiles())
     chosen: list[str] = []
     found = 0
     for f in files:

@@ -17,20 +17,22 @@ import os
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linewise.session import scratch_path
 
 
 def file_stream(spark: SparkSession, source_dir: str, *, file_glob: str = "*.parquet",
                 source_format: str = "parquet", max_files_per_trigger: int = 1000) -> DataFrame:
-    """A streaming DataFrame over the files of ``source_dir`` matching ``file_glob``."""
-    reader = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", file_glob))
+    """A streaming DataFrame over ``source_dir/file_glob``: files, or folders of part files."""
+    # The file source takes a plain path for a folder; a pattern may name files and folders alike.
+    pattern = file_glob if set(file_glob) & set("*?[{") else f"{file_glob[:-1]}[{file_glob[-1]}]"
+    path = os.path.join(source_dir, pattern)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if source_format == "parquet":
-        schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
-        return reader.schema(schema).parquet(source_dir)
+        return reader.schema(spark.read.parquet(path).schema).parquet(path)
     if source_format == "text":
-        return reader.text(source_dir)
+        return reader.text(path)
     raise ValueError(f"unsupported source format {source_format!r}")
 
 
@@ -78,33 +80,37 @@ def run_totals(spark: SparkSession, source_dir: str, transform: Callable[[DataFr
 
     The grouped state lives in the state store under the checkpoint, so a
     restarted query continues the totals.  Each micro-batch writes the complete
-    current table with ``foreachBatch`` (overwrite, so a replayed batch is
-    idempotent).  Complete mode re-emits every key each batch: meant for key
+    current table into a folder of its own (``batch=<id>``; a replayed batch
+    writes the same folder again), so a failure never touches the totals of
+    earlier batches.  Complete mode re-emits every key each batch: meant for key
     sets of bounded size (labels, codes), not for data-sized keys.
     ``state_partitions`` sets the number of state-store partitions when the
     checkpoint is new (Spark pins it there); by default the session's shuffle
-    partition count is used.  Returns the folder holding the latest totals.
+    partition count is used, and only this stream's own session is set.  Returns
+    the folder; ``read_totals`` reads the latest totals from it.
     """
-    stream = file_stream(spark, source_dir, file_glob=file_glob, source_format=source_format,
+    session = spark.newSession()
+    if state_partitions:
+        session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    stream = file_stream(session, source_dir, file_glob=file_glob, source_format=source_format,
                          max_files_per_trigger=max_files_per_trigger)
     totals = transform(stream).groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
     out = out_path or scratch_path(spark, f"{name}-totals")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch_id}")
 
     writer = (totals.writeStream
               .outputMode("complete")
               .foreachBatch(write_batch)
               .option("checkpointLocation", out + "-checkpoint")
               .trigger(availableNow=True))
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions:
-        # The stream clones the session conf when it starts.
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        query = writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    _await(query, name, timeout_s)
+    _await(writer.start(), name, timeout_s)
     return out
+
+
+def read_totals(spark: SparkSession, out: str) -> DataFrame:
+    """The totals of the last batch that ``run_totals`` wrote to ``out``."""
+    batches = spark.read.parquet(out)
+    last = batches.agg(F.max("batch")).first()[0]
+    return batches.where(F.col("batch") == last).drop("batch")

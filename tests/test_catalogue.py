@@ -20,8 +20,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(QUERIES)
-    assert set(entry.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -39,3 +39,11 @@ def test_sequence_queries_ignore_file_layout(spark, con, tmp_path, name):
         src.repartition(7).write.parquet(f"{folder}/{table}.parquet")
     ok, msg = compare(QUERIES[name](spark, folder), con, ORACLE[name])
     assert ok, msg
+
+
+@pytest.mark.parametrize("name", ["q27_stream_score_totals", "q29_stream_overlap_label_counts"])
+def test_streams_read_tables_that_are_folders(spark, con, tmp_path, name):
+    for table in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF01}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    ok, msg = compare(QUERIES[name](spark, str(tmp_path)), con, ORACLE[name])
+    assert ok, msg

@@ -9,9 +9,8 @@ from linewise.functions.udf_forms import required_move_udf
 OPP = {"A": 1, "B": 2, "C": 3}
 MINE = {"X": 1, "Y": 2, "Z": 3}
 
-# Counts of each code pair in the 2,500-line puzzle input of day 2.
-DAY2_PAIR_COUNTS = {"A X": 463, "A Y": 310, "A Z": 295, "B X": 291, "B Y": 699,
-                    "B Z": 109, "C X": 168, "C Y": 61, "C Z": 104}
+# Own counts of each code pair.
+PAIR_COUNTS = {o + " " + m: 7 * k + 3 for k, (o, m) in enumerate((o, m) for o in "ABC" for m in "XYZ")}
 
 
 def _scored(df):
@@ -35,11 +34,16 @@ def test_example_rounds(spark):
     assert out.agg(F.sum(F.col("new_play") + F.col("new_points"))).first()[0] == 12
 
 
-def test_day2_golden_totals(spark):
-    rows = [(code,) for code, n in DAY2_PAIR_COUNTS.items() for _ in range(n)]
+def test_totals_of_own_counts(spark):
+    rows = [(code,) for code, n in PAIR_COUNTS.items() for _ in range(n)]
     out = _scored(spark.createDataFrame(rows, "value string"))
-    first, second = out.agg(F.sum("total_points"), F.sum(F.col("new_play") + F.col("new_points"))).first()
-    assert (first, second) == (11906, 11186)
+    total = new = 0
+    for code, n in PAIR_COUNTS.items():
+        theirs, mine = "ABC".index(code[0]), "XYZ".index(code[2])
+        total += n * (mine + 1 + (3, 6, 0)[(mine - theirs) % 3])
+        new += n * (3 * mine + (theirs + mine - 1) % 3 + 1)
+    assert out.agg(F.sum("total_points")).first()[0] == total
+    assert out.agg(F.sum(F.col("new_play") + F.col("new_points"))).first()[0] == new
 
 
 def test_case_and_udf_forms_agree_on_every_pair_and_nulls(spark):
@@ -85,5 +89,5 @@ def test_udf_forms_on_all_null_batches(spark):
     win = spark.createDataFrame([("win", None), ("draw", None), ("lose", 2)], "needed string, theirs int")
     got = [(r.m, r.c) for r in win.select(required_move_udf("needed", "theirs").alias("m"),
                                           required_move(F.col("needed"), F.col("theirs")).alias("c")).collect()]
-    # unknown opponent move: the UDF form leaves it null, the table form falls to its default 0 (draw repeats null)
-    assert got == [(None, 0), (None, None), (1, 1)]
+    # unknown opponent move: both forms fall to 0 (a draw repeats null)
+    assert got == [(0, 0), (None, None), (1, 1)]

@@ -127,7 +127,7 @@ def test_sparse_key_with_outlier_uses_balanced_buckets(spark):
     assert sorted((r.k, r.r) for r in got.collect()) == [(k, i + 1) for i, k in enumerate(keys)]
     # Quantile edges: no bucket holds most of the rows.
     from linewise.operators.sequence import _bucketed
-    framed, cols, _, _ = _bucketed(df, ["k"], None, 50, 1 << 18)
+    framed, cols, _ = _bucketed(df, ["k"], None, 50, 1 << 18)
     biggest = framed.groupBy(*cols).count().agg(F.max("count")).first()[0]
     assert biggest <= 100
 
@@ -172,5 +172,34 @@ def test_hot_partition_key_is_split_across_buckets(spark):
     expected = df.withColumn("e", F.sum("v").over(w))
     assert got.join(expected, ["u", "k"]).where(F.col("r") != F.col("e")).count() == 0
     from linewise.operators.sequence import _bucketed
-    framed, cols, _, _ = _bucketed(df, ["k"], None, 64, 1 << 18)
+    framed, cols, _ = _bucketed(df, ["k"], None, 64, 1 << 18)
     assert framed.where("u = 0").select(*cols).distinct().count() > 10
+
+
+@pytest.mark.parametrize("rows_per_bucket", [1, 7, 100, 1 << 16])
+def test_nulls_in_key_value_and_partition(spark, rows_per_bucket):
+    rng = random.Random(9)
+    rows = [(rng.choice([None, "a", "b"]), None if k == 5 else k, rng.choice([None, None, 1, 2])) for k in range(120)]
+    df = spark.createDataFrame(rows, "p string, k int, v int")
+    w = Window.partitionBy("p").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    expected = {(r.p, r.k): (r.s, r.n) for r in df.select(
+        "p", "k", F.sum("v").over(w).alias("s"), F.row_number().over(Window.partitionBy("p").orderBy("k")).alias("n")).collect()}
+    sums = running_sum(df, "v", "k", out="s", partition_by="p", rows_per_bucket=rows_per_bucket)
+    both = row_number(sums, "k", out="n", partition_by="p", rows_per_bucket=rows_per_bucket).collect()
+    assert {(r.p, r.k): (r.s, r.n) for r in both} == expected and len(both) == 120
+
+
+@pytest.mark.parametrize("order", [["ts", "k"], ["d", "k"], ["name", "k"], ["x", "k"]])
+def test_order_keys_of_other_types_and_several_columns(spark, order):
+    import datetime as dt
+
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for k in range(200):
+        t = start + dt.timedelta(seconds=rng.randrange(10**6))
+        rows.append((k, t, t.date(), rng.choice("abcdefgh") * rng.randrange(1, 4), rng.random()))
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, d date, name string, x double")
+    expected = {r.k: r.n for r in df.select("k", F.row_number().over(Window.orderBy(*order)).alias("n")).collect()}
+    got = row_number(df, order, out="n", rows_per_bucket=16).collect()
+    assert {r.k: r.n for r in got} == expected
