@@ -43,6 +43,8 @@ from linewise.llm.text_arrays import mix, PLACE, signed, slices, text_buffer, un
 
 #: At most so many frequent tokens are put last in the token order (8 MB; order only).
 MAX_FREQUENT = 1 << 20
+#: Rows at most in the broadcast that keeps texts of other sets out of a shuffle.
+NEAR = 1 << 20
 _BLOCK_TOKENS = 1 << 21
 _TOP = np.uint64(1 << 63)
 
@@ -178,13 +180,26 @@ def _fits(n_a, n_b, num: int, den: int):
     return (den * F.least(n_a, n_b)) >= (num * F.greatest(n_a, n_b))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of sets that link."""
+def _token_sets(nodes: DataFrame, per_doc: DataFrame, rows: DataFrame, n_words: int) -> DataFrame:
+    """node, tokens of the given sets: one text of each is shingled again."""
+    wanted = (per_doc.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key")))
+    near = wanted.select(F.pmod("text_key", F.lit(NEAR)).alias("near")).distinct()  # NEAR rows at most
+    texts = (rows.join(F.broadcast(near), F.pmod("text_key", F.lit(NEAR)) == F.col("near"), "left_semi")
+             .join(wanted.select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"]))
+    return stored(texts.select("text").mapInArrow(partial(_tokens, n_words=n_words), "node long, tokens array<long>"), "tokens")
+
+
+def _verified(pairs: DataFrame, per_doc: DataFrame, rows: DataFrame, n_words: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of sets that link; only the sets of these pairs are made whole."""
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _token_sets(nodes, per_doc, rows, n_words)
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = pairs.join(left, "a").join(right, "b")
     inter = F.size(F.array_intersect("ta", "tb"))
-    return both.where(den * inter >= num * (F.size("ta") + F.size("tb") - inter)).select("a", "b")
+    linked = both.where(den * inter >= num * (F.size("ta") + F.size("tb") - inter)).select("a", "b")
+    return stored(linked, "found")
 
 
 def _led(shared: DataFrame, salt: int, num: int, den: int) -> DataFrame:
@@ -251,24 +266,15 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         partial(_prefixes, n_words=n_words, num=num, den=den, buckets=buckets, order=order), packed.SCHEMA)
     shared = stored(packed.by_bucket(entries, _several, "token long, node long, n long", _DTYPES), "shared")
 
-    # The whole sets of those that share a token: one text for each set.
-    wanted = (per_doc.join(shared.select("node").distinct(), "node", "left_semi")
-              .groupBy("node").agg(F.min("text_key").alias("text_key")))
-    near = wanted.select(F.pmod("text_key", F.lit(1 << 18)).alias("k")).distinct()  # 2^18 rows at most
-    texts = (rows.select("text", "text_key").join(F.broadcast(near), F.pmod("text_key", F.lit(1 << 18)) == F.col("k"), "left_semi")
-             .join(wanted.select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"]))
-    sets = stored(texts.select("text").mapInArrow(partial(_tokens, n_words=n_words), "node long, tokens array<long>"), "tokens")
-
     links, grouped = None, shared.withColumn("grp", F.col("node"))
     for r in range(leader_rounds):
         asked = _led(grouped if not r else grouped.join(
             grouped.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
             .select("token"), "token"), r, num, den)
-        found = stored(_verified(asked, sets, num, den), "found")
+        found = _verified(asked, per_doc, rows, n_words, num, den)
         links = found if links is None else links.unionByName(found)
         grouped = stored(_grouped(shared, links), "grouped")
-    crossing = _opened(grouped, num, den)
-    links = links.unionByName(stored(_verified(crossing, sets, num, den), "found"))
+    links = links.unionByName(_verified(_opened(grouped, num, den), per_doc, rows, n_words, num, den))
 
     comps = components(links, "a", "b").withColumnRenamed("component", "comp")
     keyed = per_doc.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
