@@ -80,7 +80,7 @@ def with_canonical(df: DataFrame, text_col: str, out: str) -> DataFrame:
     for found, used in SPELLINGS:
         spelled = F.regexp_replace(spelled, rf"\b{found}\b", used)
     one_spelling = F.when(_any("__plain", [found for found, _ in SPELLINGS]), spelled).otherwise(F.col("__plain"))
-    lines = F.filter(F.transform(F.split(one_spelling, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(one_spelling, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return df.withColumn(out, lines).drop("__low", "__plain")
 
 
