@@ -20,7 +20,7 @@ from linewise.operators.columns import drop_columns, prefix_columns, rename_colu
 from linewise.operators.group_sets import group_common_elements
 from linewise.operators.lookup import recode_join
 from linewise.operators.reshape import unpivot_long, unpivot_totals
-from linewise.operators.sequence import batch_rows, boundary_groups
+from linewise.operators.sequence import batch_rows, boundary_groups, row_number, running_sum
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
 from linewise.plans.tables import load
 from linewise.session import scratch_path
@@ -420,6 +420,24 @@ def q29_stream_overlap_label_counts(spark: SparkSession, sf_dir: str) -> DataFra
     return read_totals(spark, out)
 
 
+# ---------------------------------------------------------------- row-level order
+
+def q30_event_group_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boundary group of every event."""
+    events = load(spark, sf_dir, "events").select("event_id", "event_type")
+    return boundary_groups(events, F.col("event_type") == "signup", "event_id").select("event_id", "group_id")
+
+
+def q31_partitioned_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running sum and row number per event type, with a null partition and null values."""
+    events = load(spark, sf_dir, "events").select(
+        "event_id", F.expr("nullif(event_type, 'view')").alias("kind"),
+        F.expr("CASE WHEN event_id % 3 <> 0 THEN event_id % 100 END").alias("v"))
+    summed = running_sum(events, "v", "event_id", out="running", partition_by="kind")
+    return row_number(summed, "event_id", out="rn", partition_by="kind").select(
+        "event_id", "kind", F.col("running").cast("long").alias("running"), "rn")
+
+
 QUERIES = {
     "q01_boundary_group_totals": q01_boundary_group_totals,
     "q02_top_groups": q02_top_groups,
@@ -453,4 +471,6 @@ QUERIES = {
     "q27_stream_score_totals": q27_stream_score_totals,
     "q28_layout_header": q28_layout_header,
     "q29_stream_overlap_label_counts": q29_stream_overlap_label_counts,
+    "q30_event_group_ids": q30_event_group_ids,
+    "q31_partitioned_sums": q31_partitioned_sums,
 }

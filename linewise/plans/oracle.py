@@ -252,3 +252,17 @@ SELECT line_no, value,
 FROM h""",
     "q29_stream_overlap_label_counts": _INTERVALS + _OVERLAP_COUNTS,
 }
+
+ORACLE["q30_event_group_ids"] = """
+SELECT event_id, (1 + sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END)
+    OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS group_id
+FROM events
+"""
+
+ORACLE["q31_partitioned_sums"] = """
+SELECT event_id, kind,
+       (sum(v) OVER (PARTITION BY kind ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS running,
+       row_number() OVER (PARTITION BY kind ORDER BY event_id) AS rn
+FROM (SELECT event_id, nullif(event_type, 'view') AS kind,
+             CASE WHEN event_id % 3 <> 0 THEN event_id % 100 END AS v FROM events)
+"""
