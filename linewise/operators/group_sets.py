@@ -7,14 +7,15 @@ Two plans give the same answer:
 * ``count``: explode the distinct elements of each row, count rows per
   (group, element) with a partial aggregate, keep elements whose count equals
   the group's row count.  No group is ever collected, so a group holding a
-  third of all rows costs the same as many small ones.
+  third of all rows costs the same as many small ones.  The input is read twice
+  (sizes and elements).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewise.functions.sets import fold_common
@@ -44,29 +45,30 @@ def group_common_elements(df: DataFrame, group: str | Sequence[str], arr: str, *
     if strategy == "fold":
         if max_group_size is None or max_group_size > FOLD_MAX_GROUP:
             raise ValueError("fold needs a known group size bound <= FOLD_MAX_GROUP")
-        aggs = [F.sort_array(fold_common(F.collect_list(items))).alias(out)]
+        # A group larger than the caller's bound fails the job.
+        in_bound = F.count(F.lit(1)) <= max_group_size
+        too_large = F.raise_error(F.lit(f"a group has more than max_group_size = {max_group_size} rows"))
+        aggs = [F.when(in_bound, F.sort_array(fold_common(F.collect_list(items)))).otherwise(too_large).alias(out)]
         if size_out:
             aggs.append(F.count(F.lit(1)).alias(size_out))
         return df.groupBy(*keys).agg(*aggs)
     if strategy != "count":
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    # One pass over the input: each row emits a marker (position 0) and its
-    # distinct elements.  A partial aggregate per (group, marker, element)
-    # shrinks a hot group to one row per distinct element before the shuffle;
-    # a window over those rows then attaches the group's row count, so neither
-    # raw rows nor a group's elements are ever collected into one value.
+    # Partial aggregates shrink a hot group to one row (its size) and one row per
+    # distinct element (its count) before each shuffle.  The join keeps the
+    # elements that every row has, and adaptive execution may split a group with
+    # very many elements there; only what is common, at most the elements of the
+    # group's smallest row, is collected.
     n_col = size_out or "__lw_n"
-    elem_type = arr_type.elementType
-    tagged = F.concat(F.array(F.lit(None).cast(elem_type)), items)
-    counted = (df.select(*keys, F.posexplode(tagged).alias("__lw_pos", "__lw_e"))
-               .groupBy(*keys, (F.col("__lw_pos") == 0).alias("__lw_row"), "__lw_e")
-               .agg(F.count(F.lit(1)).alias("__lw_c")))
-    per_group = Window.partitionBy(*keys)
-    sized = counted.withColumn(n_col, F.max(F.when(F.col("__lw_row"), F.col("__lw_c"))).over(per_group))
-    is_common = ~F.col("__lw_row") & (F.col("__lw_c") == F.col(n_col))
-    result = sized.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.when(is_common, F.col("__lw_e")))).alias(out),
-        F.max(n_col).alias(n_col),
-    )
-    return result.select(*keys, out, n_col) if size_out else result.select(*keys, out)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n_col))
+    counted = (df.select(*keys, F.explode(items).alias("__lw_e"))
+               .groupBy(*keys, "__lw_e").agg(F.count(F.lit(1)).alias("__lw_c")))
+    named = sizes.select(*[F.col(k).alias(f"__lw_g{i}") for i, k in enumerate(keys)], F.col(n_col).alias("__lw_size"))
+    same_group = [F.col(k).eqNullSafe(F.col(f"__lw_g{i}")) for i, k in enumerate(keys)]
+    common = (counted.join(named, [*same_group, F.col("__lw_c") == F.col("__lw_size")])
+              .groupBy(*[f"__lw_g{i}" for i in range(len(keys))])
+              .agg(F.sort_array(F.collect_list("__lw_e")).alias("__lw_common")))
+    result = sizes.join(common, same_group, "left")
+    listed = F.coalesce("__lw_common", F.array().cast(arr_type)).alias(out)
+    return result.select(*keys, listed, n_col) if size_out else result.select(*keys, listed)
