@@ -27,12 +27,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewise.llm.tables import components, stored
 
 _MAX_DEPTH = 20
+#: Numbers at most that one step of the routing copies for each leaf.
+_PIECE = 1 << 20
 
 
 def direction(tree: int, depth_path: int, dim: int) -> np.ndarray:
@@ -66,59 +69,69 @@ def fit_cuts(vectors: np.ndarray, trees: int, depth: int, spill: float) -> dict:
     return cuts
 
 
-def leaves_of(unit: np.ndarray, cuts: dict, tree: int) -> list[list[int]]:
-    """The leaves of each vector in a tree."""
-    out = [[] for _ in range(len(unit))]
+def leaves_of(unit: np.ndarray, cuts: dict, tree: int) -> list[tuple[int, np.ndarray]]:
+    """The leaves of a tree and the vectors that each holds."""
+    out = []
     open_nodes = [(1, np.arange(len(unit)))]
     while open_nodes:
         node, at = open_nodes.pop()
         cut = cuts.get((tree, node))
         if cut is None or not len(at):
-            for i in at.tolist():
-                out[i].append(node)
+            out.append((node, at))
             continue
         p = unit[at] @ direction(tree, node, unit.shape[1])
         open_nodes += [(2 * node, at[p <= cut[2]]), (2 * node + 1, at[p > cut[0]])]
     return out
 
 
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """The items of a list column in one array, and the length of each list."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column).to_numpy(zero_copy_only=False)
+
+
 def _route(batches, shared, trees: int):
     """node, tree, leaf, member's row and all leaves: one row for each leaf of a vector."""
-    forest = shared.value
     for batch in batches:
-        rows = {"node": [], "label": [], "tree": [], "leaf": [], "times": [], "embedding": [], "leaves": []}
-        vectors = batch.column("embedding").to_pylist()
-        label = batch.column("label").to_pylist()
-        node, times = batch.column("node").to_pylist(), batch.column("times").to_pylist()
-        groups = {}
-        for i, v in enumerate(vectors):
-            groups.setdefault((label[i], len(v)), []).append(i)
-        for (name, dim), at in groups.items():
-            unit = _unit(np.array([vectors[i] for i in at], np.float64))
-            cuts = forest.get((name, dim), {})
-            per_tree = [leaves_of(unit, cuts, t) for t in range(trees)]
-            for k, i in enumerate(at):
-                flat = [t << 32 | leaf for t in range(trees) for leaf in per_tree[t][k]]
-                for code in flat:
-                    rows["node"].append(node[i])
-                    rows["label"].append(f"{name}/{dim}")
-                    rows["tree"].append(code >> 32)
-                    rows["leaf"].append(code & 0xFFFFFFFF)
-                    rows["times"].append(times[i])
-                    rows["embedding"].append(vectors[i])
-                    rows["leaves"].append(flat)
-        yield pa.record_batch([pa.array(rows["node"], pa.int64()), pa.array(rows["label"], pa.string()),
-                               pa.array(rows["tree"], pa.int64()), pa.array(rows["leaf"], pa.int64()),
-                               pa.array(rows["times"], pa.int64()), pa.array(rows["embedding"], pa.list_(pa.float64())),
-                               pa.array(rows["leaves"], pa.list_(pa.int64()))], names=list(rows))
-
-
-def _first_shared(leaves: list, a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
+        widest = pc.max(pc.list_value_length(batch.column("embedding"))).as_py() or 1
+        step = max(1, _PIECE // widest)
+        for at in range(0, batch.num_rows, step):
+            yield _routed(batch.slice(at, step), shared.value, trees)
+
+
+def _routed(batch: pa.RecordBatch, forest: dict, trees: int) -> pa.RecordBatch:
+    values, dims = _lists(batch.column("embedding"))
+    start = np.cumsum(dims) - dims
+    names = [f"{name}/{dim}" for name, dim in zip(batch.column("label").to_pylist(), dims.tolist())]
+    groups = {}
+    for i, name in enumerate(names):
+        groups.setdefault(name, []).append(i)
+    member, code = [], []
+    for name, found in groups.items():
+        at = np.array(found)
+        unit = _unit(values[start[at][:, None] + np.arange(dims[at[0]])])
+        for tree in range(trees):
+            for leaf, inside in leaves_of(unit, forest.get(name, {}), tree):
+                member.append(at[inside])
+                code.append(np.full(len(inside), tree << 32 | leaf, np.int64))
+    member, code = np.concatenate(member), np.concatenate(code)
+    order = np.lexsort((code, member))
+    member, code = member[order], code[order]
+    ends = np.cumsum(np.bincount(member, minlength=batch.num_rows))
+    leaves = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(code))
+    take = pa.array(member)
+    return pa.record_batch([batch.column("node").take(take), pa.array(names).take(take),
+                            pa.array(code >> 32), pa.array(code & 0xFFFFFFFF), batch.column("times").take(take),
+                            batch.column("embedding").take(take), leaves.take(take)],
+                           names=["node", "label", "tree", "leaf", "times", "embedding", "leaves"])
+
+
+def _first_shared(codes: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
     """Whether ``here`` is the smallest leaf code that the pairs share."""
-    width = max(map(len, leaves))
-    table = np.full((len(leaves), width), -1, np.int64)
-    for i, codes in enumerate(leaves):
-        table[i, :len(codes)] = codes
+    width = int(lengths.max())
+    table = np.full((len(lengths), width), -1, np.int64)
+    table[np.arange(width) < lengths[:, None]] = codes
     out = np.ones(len(a), bool)
     for at in range(0, len(a), 20_000):
         x, y = table[a[at:at + 20_000]], table[b[at:at + 20_000]]
@@ -132,7 +145,7 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
     """New links and the local root of each vector of a leaf (or of a pair of its blocks)."""
     node = table.column("node").to_numpy()
     n = len(node)
-    unit = _unit(np.array(table.column("embedding").to_pylist(), np.float64))
+    unit = _unit(_lists(table.column("embedding"))[0].reshape(n, -1))
     times, block = table.column("times").to_numpy(), table.column("block").to_numpy()
     first, second = (int(x) for x in table.column("blocks")[0].as_py().split("-"))
     here = int(table.column("tree")[0].as_py()) << 32 | int(table.column("leaf")[0].as_py())
@@ -141,7 +154,7 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
         linked &= block[:, None] != block[None, :]
     np.fill_diagonal(linked, False)
     a, b = np.nonzero(np.triu(linked))
-    new = _first_shared(table.column("leaves").to_pylist(), a, b, here) if len(a) else np.zeros(0, bool)
+    new = _first_shared(*_lists(table.column("leaves")), a, b, here) if len(a) else np.zeros(0, bool)
     links = np.bincount(a[new], times[b[new]], n) + np.bincount(b[new], times[a[new]], n)
     root = np.arange(n)
     while len(a):  # the smallest place that links reach, by halving paths
@@ -164,7 +177,7 @@ def _valid(vector: str):
 
 
 def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                    threshold: float = 0.93, trees: int = 6, spill: float = 0.15, leaf: int = 512, block: int = 512,
+                    threshold: float = 0.93, trees: int = 10, spill: float = 0.05, leaf: int = 512, block: int = 1024,
                     sample: int = 20_000) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     spark = vectors.sparkSession
@@ -186,9 +199,11 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     wanted = {(r["label"], r["dim"]): r["n"] for r in sizes.where(F.col("n") > leaf).orderBy(F.desc("n")).limit(sample).collect()}
     forest = {}
     for group, found in by_group.items():
-        depth = min(_MAX_DEPTH, max(0, int(np.ceil(np.log2(max(1, wanted.get(group, 1)) / leaf)))))
+        # A child holds 0.5 + spill of its node.
+        depth = np.ceil(np.log(max(1.0, wanted.get(group, 1) / leaf)) / -np.log(0.5 + spill))
+        depth = min(_MAX_DEPTH, int(depth))
         if depth:
-            forest[group] = fit_cuts(np.array(found), trees, depth, spill)
+            forest[f"{group[0]}/{group[1]}"] = fit_cuts(np.array(found), trees, depth, spill)
     shared = spark.sparkContext.broadcast(forest)
     routed = distinct.mapInArrow(partial(_route, shared=shared, trees=trees),
                                  "node long, label string, tree long, leaf long, times long, embedding array<double>, leaves array<long>")
