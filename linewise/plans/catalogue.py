@@ -22,6 +22,7 @@ from linewise.operators.lookup import recode_join
 from linewise.operators.reshape import unpivot_long, unpivot_totals
 from linewise.operators.sequence import batch_rows, boundary_groups, row_number, running_sum
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
+from linewise.plans import text_jobs
 from linewise.plans.tables import load
 from linewise.session import scratch_path
 from linewise.sources.text import read_first_lines, read_lines, read_records, record_groups, write_lines
@@ -438,6 +439,39 @@ def q31_partitioned_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "kind", F.col("running").cast("long").alias("running"), "rn")
 
 
+# ---------------------------------------------------------------- jobs on text files
+
+def q32_text_code_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of two codes, scored; totals per pair of moves (priorities 4 and 5 have none)."""
+    orders = load(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority")
+    line = F.concat(F.translate("o_orderstatus", "FOP", "ABC"), F.lit(" "),
+                    F.translate(F.substring("o_orderpriority", 1, 1), "123", "XYZ"))
+    scores = text_jobs.code_pair_scores(spark, write_lines(orders, line, scratch_path(spark, "code-lines")))
+    return scores.groupBy("theirs", "mine").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("total_points").alias("total_points"),
+        F.sum("new_total_points").alias("new_total_points"))
+
+
+def q33_text_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The letters of each document as a line; weight of the first letter common to every three lines."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id")
+    path = write_lines(docs, keep_chars(F.coalesce("text", F.lit("")), "A-Za-z"), scratch_path(spark, "letter-lines"))
+    return text_jobs.batch_common_total(spark, path, k=3)
+
+
+def q34_text_interval_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_lines(_interval_pairs(spark, sf_dir), "pair", scratch_path(spark, "interval-lines"))
+    return text_jobs.interval_pair_counts(spark, path)
+
+
+def q35_text_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line number and batch of three of every line of a text folder."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey")
+    path = write_lines(orders, F.col("o_orderkey").cast("string"), scratch_path(spark, "numbered-lines"))
+    lines = read_lines(spark, path, line_number="line_no")
+    return lines.select("line_no", F.expr("(line_no - 1) div 3 + 1").alias("batch_id"), "value")
+
+
 QUERIES = {
     "q01_boundary_group_totals": q01_boundary_group_totals,
     "q02_top_groups": q02_top_groups,
@@ -473,4 +507,8 @@ QUERIES = {
     "q29_stream_overlap_label_counts": q29_stream_overlap_label_counts,
     "q30_event_group_ids": q30_event_group_ids,
     "q31_partitioned_sums": q31_partitioned_sums,
+    "q32_text_code_pairs": q32_text_code_pairs,
+    "q33_text_letter_batches": q33_text_letter_batches,
+    "q34_text_interval_pairs": q34_text_interval_pairs,
+    "q35_text_line_numbers": q35_text_line_numbers,
 }

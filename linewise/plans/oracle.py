@@ -266,3 +266,36 @@ SELECT event_id, kind,
 FROM (SELECT event_id, nullif(event_type, 'view') AS kind,
              CASE WHEN event_id % 3 <> 0 THEN event_id % 100 END AS v FROM events)
 """
+
+# The wanted result (1 lose, 2 draw, 3 win) and the move that gives it, as in _DEPENDENT.
+ORACLE["q32_text_code_pairs"] = _SCORED + """
+SELECT opponent_points AS theirs, my_points AS mine, COUNT(*) AS n_lines,
+       CAST(SUM(match_points + my_points) AS BIGINT) AS total_points,
+       CAST(SUM(CASE my_points WHEN 1 THEN (opponent_points + 1) % 3 + 1
+                               WHEN 2 THEN 3 + opponent_points
+                               WHEN 3 THEN 6 + opponent_points % 3 + 1 END) AS BIGINT) AS new_total_points
+FROM s GROUP BY opponent_points, my_points"""
+
+ORACLE["q33_text_letter_batches"] = """
+WITH l AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS n,
+         regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g') AS line FROM documents
+), e AS (
+  SELECT DISTINCT n, (n - 1) // 3 + 1 AS batch_id, unnest(string_split(line, '')) AS ch FROM l
+), sz AS (
+  SELECT (n - 1) // 3 + 1 AS batch_id, COUNT(*) AS rows_in FROM l GROUP BY 1
+), c AS (
+  SELECT e.batch_id, e.ch FROM e JOIN sz ON e.batch_id = sz.batch_id
+  WHERE e.ch <> '' GROUP BY e.batch_id, e.ch, sz.rows_in HAVING COUNT(*) = sz.rows_in
+), f AS (
+  SELECT batch_id, MIN(ch) AS f FROM c GROUP BY batch_id
+)
+SELECT CAST(SUM(CASE WHEN f BETWEEN 'a' AND 'z' THEN ascii(f) - ascii('a') + 1
+                     WHEN f BETWEEN 'A' AND 'Z' THEN ascii(f) - ascii('A') + 27 END) AS BIGINT) AS total_weight
+FROM f"""
+
+ORACLE["q34_text_interval_pairs"] = _INTERVALS + _OVERLAP_COUNTS
+
+ORACLE["q35_text_line_numbers"] = """
+SELECT n AS line_no, (n - 1) // 3 + 1 AS batch_id, CAST(o_orderkey AS VARCHAR) AS value
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) t"""
