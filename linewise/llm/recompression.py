@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewise.llm.repeats import NO_ID, covered, keyed, repeated_starts, span_hash, with_spans
+from linewise.llm.repeats import NO_ID, covered, keyed, repeated_starts, row_key, span_hash, with_spans
 from linewise.llm.text_arrays import PLACE, mix, powers, slices, text_buffer, words_of
 
 _STEP = 1 << 18
@@ -147,7 +147,7 @@ def _apply(batches, width: int):
                                   names=["doc", "tag", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
-_RESULT = "doc long, tag int, n_words long, n_removed long, kept_sha256 string, kept_text string"
+_RESULT = "doc long, tag long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
 def word_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 13) -> DataFrame:
@@ -204,8 +204,7 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     spans = word_starts(docs, id_col=id_col, text_col=text_col, width=width)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.xxhash64(F.col(text_col)).bitwiseAND(0xFFFF).cast("int").alias("tag"))
+                       *row_key(id_col, text_col))
     spanned = with_spans(rows, spans, ["lo", "n"], only=False).select("row", "spans")
     size_col = size_col if size_col in docs.columns else None
     return spanned.mapInArrow(partial(_rewrite, width=width, text_col=text_col, size_col=size_col), docs.schema)

@@ -16,8 +16,8 @@ with their own core and context, down to single windows.  Each level compares
 hash counts only, with partial aggregates, so a passage that a third of all
 documents share costs one row per task and never brings its documents together.
 
-Rows are told apart by document id and a 16-bit tag of the text, so repeated ids
-with different texts do not mix.  A null id counts as larger than all others.
+Rows are told apart by document id and a tag, the 64-bit hash of the text, so repeated
+or null ids with different texts do not mix.  A null id counts as larger than all others.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linewise.llm import packed
@@ -39,8 +39,8 @@ NO_ID = (1 << 63) - 1
 #: Rows at most in the broadcast that lets documents without spans skip a shuffle.
 NEAR = 1 << 20
 
-RUN = "core long, context long, doc long, tag int, lo long, n int, back int"
-_DTYPES = ("u4", "u4", "u2", "i8", "u2", "u4", "u2", "u2", "u1")
+RUN = "core long, context long, doc long, tag long, lo long, n int, back int"
+_DTYPES = ("u4", "u4", "u2", "i8", "i8", "u4", "u2", "u2", "u1")
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 
@@ -49,11 +49,14 @@ def span_hash(sums: np.ndarray, inverse: np.ndarray, lo: np.ndarray, hi: np.ndar
     return mix((sums[hi] - sums[lo]) * inverse[lo] + (hi - lo).astype(np.uint64))
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """doc and tag of a row."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(F.col(text_col)).alias("tag")]
+
+
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc, tag, text of every row."""
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.xxhash64(F.col(text_col)).bitwiseAND(0xFFFF).cast("int").alias("tag"),
-                       F.col(text_col).alias("text"))
+    return docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text"))
 
 
 def _entries(batches, runs_of: Callable, buckets: int):
@@ -67,7 +70,7 @@ def _entries(batches, runs_of: Callable, buckets: int):
         for part in slices(batch, "text"):
             row, lo, n, back, core, context = runs_of(part.column("text"))
             doc = part.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
-            tag = part.column("tag").to_numpy(zero_copy_only=False).astype(np.uint16)
+            tag = part.column("tag").to_numpy(zero_copy_only=False).astype(np.int64)
             parts.append((core, context, doc[row], tag[row], lo, n, back))
         if not parts:
             continue
@@ -102,7 +105,7 @@ def _kept(table: pa.Table) -> pa.Table:
         keep[order] |= same | np.append(same[1:], False)
     pick = lambda x, kind: pa.array(x[keep].astype(kind))
     context = (c_hi.astype(np.uint64) << np.uint64(32) | c_lo.astype(np.uint64)).view(np.int64)
-    return pa.table([pick(core, np.int64), pick(context, np.int64), pick(doc, np.int64), pick(tag, np.int32),
+    return pa.table([pick(core, np.int64), pick(context, np.int64), pick(doc, np.int64), pick(tag, np.int64),
                      pick(lo, np.int64), pick(n, np.int32), pick(back, np.int32)],
                     names=["core", "context", "doc", "tag", "lo", "n", "back"])
 
@@ -164,7 +167,7 @@ def _refined(batches, cells_of: Callable):
                 for held, col in zip(out, (core, context, np.full(len(core), doc), np.full(len(core), tag), c_lo, c_n, c_back)):
                     held.append(col)
             cols = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
-            kinds = (np.uint64, np.uint64, np.int64, np.int32, np.int64, np.int32, np.int32)
+            kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int32, np.int32)
             arrays = [pa.array(c.astype(k).view(np.int64) if k is np.uint64 else c.astype(k)) for c, k in zip(cols, kinds)]
             yield pa.record_batch(arrays, names=["core", "context", "doc", "tag", "lo", "n", "back"])
 

@@ -120,6 +120,44 @@ def test_removed_bytes(spark, corpus):
     assert Counter(tuple(r) for r in suffix_repeats.dedup_bytes(_docs(spark, corpus)).collect()) == expected
 
 
+def test_texts_that_share_an_id_stay_apart(spark):
+    """2,000 different texts under the null id and as many under one id, against brute force."""
+    rng = random.Random(16)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9))) for _ in range(2000)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    passages = [text(80) for _ in range(4)]
+    docs = [(1, " ".join(passages), "s")]
+    for k in range(4000):
+        parts = [text(rng.randrange(1, 60)), text(rng.randrange(1, 60))]
+        if k % 2 == 0:
+            parts.insert(1, passages[k // 2 % 4])
+        docs.append((None if k < 2000 else 7, " ".join(parts), "s"))
+    least, windows = {}, Counter()
+    for i, t, _ in docs:
+        w, raw = t.split(), t.encode()
+        for k in range(len(w) - 12):
+            key = tuple(w[k:k + 13])
+            least[key] = min(least.get(key, 1 << 63), 1 << 63 if i is None else i)
+        windows.update(raw[k:k + 400] for k in range(len(raw) - 399))
+    by_words, by_bytes = Counter(), Counter()
+    for i, t, _ in docs:
+        w, raw = t.split(), t.encode()
+        gone, lost = np.zeros(len(w), bool), np.zeros(len(raw), bool)
+        for k in range(len(w) - 12):
+            if least[tuple(w[k:k + 13])] < (1 << 63 if i is None else i):
+                gone[k:k + 13] = True
+        for k in range(len(raw) - 399):
+            if windows[raw[k:k + 400]] > 1:
+                lost[k:k + 400] = True
+        by_words[i, " ".join(x for x, g in zip(w, gone) if not g)] += 1
+        by_bytes[i, len(raw), int(lost.sum()), hashlib.sha256(bytes(np.frombuffer(raw, np.uint8)[~lost])).hexdigest()] += 1
+    df = _docs(spark, docs)
+    assert Counter((r.doc_id, r.kept_text) for r in recompression.dedup_words(df).collect()) == by_words
+    assert Counter((r.doc_id, " ".join(r.text.split())) for r in recompression.without_repeats(df).collect()) == by_words
+    got = suffix_repeats.dedup_bytes(df).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+    assert Counter(tuple(r) for r in got) == by_bytes
+
+
 def test_mix_reaches_targets(spark, corpus):
     rows = fair_mix.mix_sources(_docs(spark, corpus)).collect()
     assert len(rows) == len(corpus)
