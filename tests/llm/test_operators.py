@@ -227,6 +227,38 @@ def test_decontamination_matches_alignment(spark):
     assert {r.doc_id for r in left.collect()} == {i for i, _, _ in docs} - {i for i, _ in expected}
 
 
+def test_decontamination_finds_passages_cut_anywhere(spark):
+    rng = random.Random(21)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7))) for _ in range(n))
+    items = [(k, text(60)) for k in range(8)] + [(20, text(19)[:90].strip()), (30, "zebra quiz at noon"), (31, "zulu")]
+    docs, expected = [], set()
+
+    def plant(item, passage):
+        docs.append((len(docs), text(40) + " " + passage + " " + text(25), None))
+        expected.add((len(docs) - 1, item))
+    for n in (50, 51, 56, 57, 64, 80, 99, 100, 120, 149, 200):
+        for k in range(8):
+            at = rng.randrange(len(items[k][1]) - n + 1)
+            plant(k, items[k][1][at:at + n].upper() if k % 2 else items[k][1][at:at + n])
+    for k in range(40):  # 57 bytes or more with up to 3 edits, far apart and not at the ends
+        n = rng.randrange(57, 130)
+        at = rng.randrange(len(items[k % 8][1]) - n + 1)
+        leak = list(items[k % 8][1][at:at + n])
+        for place in rng.sample(range(2, n - 2), k % 4):
+            leak[place] = rng.choice(["", "z", leak[place] + "z"])
+        plant(k % 8, "".join(leak))
+    plant(20, items[8][1])
+    plant(30, "Zebra, quiz at noon!")
+    docs += [(1000, "Zulu.", None), (1001, text(9) + " zulu", None), (1002, "xzebra quiz at noon", None), (1003, text(400), None)]
+    docs += [(1004 + k, text(30) + " " + items[k][1][5:35] + " " + text(30), None) for k in range(8)]  # 30 bytes are too few
+    expected.add((1000, 31))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated_documents(_docs(spark, docs), bench)
+    assert Counter((r.doc_id, r.item_id) for r in found.collect()) == Counter(expected)
+    left = {r.doc_id for r in decontaminate.without_contaminated(_docs(spark, docs), bench).collect()}
+    assert left == {i for i, _, _ in docs} - {i for i, _ in expected}
+
+
 def test_quality_keeps_prose_and_rejects_junk(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
