@@ -4,7 +4,9 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -194,6 +196,28 @@ def test_licences(spark):
                                     (None, "MIT", "MIT")])
 
 
+def test_whole_licences_and_wrapped_notices(spark):
+    texts = {"MIT": licences.KNOWN[10][1]}
+    for path in sorted((Path(licences.__file__).parent / "licence_texts").glob("*.txt")):
+        texts[path.stem] = path.read_text()
+    wrap = lambda text, n: "\n\n".join(textwrap.fill(p, n) for p in licences.unwrapped(text).split("\n\n"))
+    rows, expected = [], {}
+    for name, text in texts.items():
+        forms = [text, licences.unwrapped(text), "Copyright (c) 2021, Someone\nAll rights reserved.\n\n" + text, text.upper()]
+        if name != "GPL-3.0":  # its head has a copyright line that goes on as text
+            forms += [wrap(text, 50), "\n".join("# " + line for line in wrap(text, 71).split("\n"))]
+        for form in forms:
+            expected[len(rows)] = name.removesuffix("-Regents")
+            rows.append((len(rows), form, None))
+    got = {r.doc_id: r.licence_id for r in licences.licence_scan(_docs(spark, rows)).collect()}
+    assert got == expected
+    notices = [(1, "Some text.\nLicensed under the Apache License, Version\n2.0.\nMore text.", None),
+               (2, "First.\n\nThis work is licensed\nunder the GNU General\nPublic License, version 3.\n\nLast.", None),
+               (3, "Released under\nno licence", None)]
+    found = {r.doc_id: (r.licence_id, r.line_licences) for r in licences.licence_scan(_docs(spark, notices)).collect()}
+    assert found == {1: (None, "Apache-2.0"), 2: (None, "GPL-3.0"), 3: (None, "")}
+
+
 def _distance(p: str, t: str) -> int:
     row = [0] * (len(t) + 1)
     for i, c in enumerate(p, 1):
