@@ -45,8 +45,8 @@ STAGES = [
     ("mixing sources", mixing),
 ]
 
-#: The classifier, the alignment and the hashed passages have no SQL form; the
-#: pipeline is tested against a brute-force version of its stages.
+#: The classifier, the alignment and the hashed passages have no SQL form.  The
+#: stages' operators are tested one by one, the pipeline as a whole is not.
 ORACLE_SQL = None
 
 
