@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linewise.llm import (decontaminate, fair_mix, jaccard_join, licences, recompression, rp_forest, suffix_repeats,
-                          toxicity, warc_bundles, weak_quality)
+from linewise.llm import (decontaminate, fair_mix, jaccard_join, licences, ranked_search, recompression, rp_forest,
+                          suffix_repeats, text_density, toxicity, warc_bundles, weak_quality, whitening)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,6 +59,19 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"), scale=256, components=4)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"),
+                                       k=10, length_share=75)
+
+
+def op13_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_density.extract_text(_read(spark, sf_dir, "pages"), keep=("page_id", "url"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_licence_scan": op2_licence_scan,
@@ -70,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_recompression": op9_recompression,
     "op10_fair_mix": op10_fair_mix,
+    "op11_whitening": op11_whitening,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_text_density": op13_text_density,
 }
