@@ -16,9 +16,12 @@ from linewise.functions.recode import letter_weight, recode
 from linewise.functions.rules import match_points, needed_result, required_move, result_points
 from linewise.functions.sets import common_by_difference, common_elements, first_common, joined_sorted
 from linewise.functions.udf_forms import overlap_label_udf, required_move_udf
+from linewise.operators.asof_join import asof_join
 from linewise.operators.columns import drop_columns, prefix_columns, rename_columns
 from linewise.operators.group_sets import group_common_elements
+from linewise.operators.interval_join import interval_join, overlap_counts
 from linewise.operators.lookup import recode_join
+from linewise.operators.ranking import ends, moving, moving_range, neighbours, ranks, tiles
 from linewise.operators.reshape import unpivot_long, unpivot_totals
 from linewise.operators.sequence import batch_rows, boundary_groups, row_number, running_sum
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
@@ -472,6 +475,105 @@ def q35_text_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("line_no", F.expr("(line_no - 1) div 3 + 1").alias("batch_id"), "value")
 
 
+# ---------------------------------------------------------------- intervals and nearest rows of two tables
+
+def q36_error_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which signup groups the ids from each error to ``value`` ids later touch, and whether a group lies inside."""
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    groups = (boundary_groups(events, F.col("event_type") == "signup", "event_id").groupBy("group_id")
+              .agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")))
+    errors = events.where("event_type = 'error'").select(
+        "event_id", (F.col("event_id") + F.floor(F.coalesce("value", F.lit(0.0)))).cast("long").alias("reach"))
+    pairs = interval_join(errors, groups, ("event_id", "reach"), ("first_id", "last_id"))
+    inside = iv.contains("event_id", "reach", "first_id", "last_id")
+    return pairs.select("event_id", "group_id", iv.flag(inside).alias("is_inside"))
+
+
+def q37_close_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a customer's orders whose 30 days from the order date overlap."""
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("opened"),
+        F.date_add(F.to_date("o_orderdate"), 30).alias("closed"))
+    pairs = interval_join(orders, orders, ("opened", "closed"), ("opened", "closed"), on="o_custkey")
+    return pairs.where("o_orderkey < right_o_orderkey").select("o_custkey", "o_orderkey", "right_o_orderkey")
+
+
+def q38_orders_at_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of all customers whose three days overlap those of each order, counted without pairs."""
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("opened"), F.date_add(F.to_date("o_orderdate"), 3).alias("closed"))
+    counted = overlap_counts(orders, orders, ("opened", "closed"), ("opened", "closed"), out="n_at_hand")
+    return counted.select("o_orderkey", "n_at_hand")
+
+
+def q39_view_before_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user's last view before each purchase, at most a day earlier."""
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    views = events.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"), "value")
+    buys = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    found = asof_join(buys, views, "ts", "ts", on="user_id", values=["view_id", "value"], within=86_400_000_000, prefix="last_")
+    return found.select("event_id", "user_id", F.col("last_view_id").alias("view_id"),
+                        F.round(F.col("last_value") * 100).cast("long").alias("view_cents"))
+
+
+def q40_error_after_signup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next error of any user after each signup."""
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    errors = events.where("event_type = 'error'").select(F.col("event_id").alias("error_id"), F.col("user_id").alias("error_user"))
+    signups = events.where("event_type = 'signup'").select("event_id")
+    return asof_join(signups, errors, "event_id", "error_id", direction="forward", exact=False, prefix="")
+
+
+# ---------------------------------------------------------------- ranks, neighbours and frames over the whole order
+
+def q41_value_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of each event's value among those of its type, largest first."""
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return ranks(events, "value", partition_by="event_type", descending=True,
+                 out={"rank": "value_rank", "dense_rank": "value_dense_rank", "cume_dist": "value_share"}).drop("value")
+
+
+def q41b_quantity_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of each line's quantity among all lines: few keys, each with very many rows."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").cast("int").alias("quantity"))
+    return ranks(lines, "quantity", out={"rank": "quantity_rank", "dense_rank": "quantity_dense_rank",
+                                         "percent_rank": "quantity_share"})
+
+
+def q42_price_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in 100 tiles by price."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return tiles(orders, 100, ["o_totalprice", "o_orderkey"], out="tile").select("o_orderkey", "tile")
+
+
+def q43_user_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with the user's previous event, the type two events later, and the user's first and last type."""
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    near = neighbours(events, {"previous_id": ("event_id", -1), "later_type": ("event_type", 2)}, "event_id",
+                      partition_by="user_id")
+    return ends(near, {"first_type": ("event_type", "first"), "last_type": ("event_type", "last")}, "event_id",
+                partition_by="user_id").drop("event_type")
+
+
+def q44_moving_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cents of the last seven events, and errors among the three events on either side."""
+    events = load(spark, sf_dir, "events").select(
+        "event_id", F.round(F.col("value") * 100).cast("long").alias("cents"),
+        (F.col("event_type") == "error").cast("long").alias("is_error"))
+    summed = moving(events, {"cents_7": F.sum("cents"), "most_7": F.max("cents")}, "event_id", rows=(-6, 0))
+    return moving(summed, {"errors_near": F.sum("is_error")}, "event_id", rows=(-3, 3)).select(
+        "event_id", "cents_7", "most_7", "errors_near")
+
+
+def q45_week_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each order, the orders of the same priority in the seven days up to its own."""
+    orders = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    return moving_range(orders, {"n_week": F.count(F.lit(1)), "cents_week": F.sum("cents")}, "day", within=(-6, 0),
+                        partition_by="o_orderpriority").select("o_orderkey", "n_week", "cents_week")
+
+
 QUERIES = {
     "q01_boundary_group_totals": q01_boundary_group_totals,
     "q02_top_groups": q02_top_groups,
@@ -511,4 +613,15 @@ QUERIES = {
     "q33_text_letter_batches": q33_text_letter_batches,
     "q34_text_interval_pairs": q34_text_interval_pairs,
     "q35_text_line_numbers": q35_text_line_numbers,
+    "q36_error_reach": q36_error_reach,
+    "q37_close_orders": q37_close_orders,
+    "q38_orders_at_hand": q38_orders_at_hand,
+    "q39_view_before_purchase": q39_view_before_purchase,
+    "q40_error_after_signup": q40_error_after_signup,
+    "q41_value_ranks": q41_value_ranks,
+    "q41b_quantity_ranks": q41b_quantity_ranks,
+    "q42_price_tiles": q42_price_tiles,
+    "q43_user_neighbours": q43_user_neighbours,
+    "q44_moving_cents": q44_moving_cents,
+    "q45_week_of_orders": q45_week_of_orders,
 }

@@ -299,3 +299,70 @@ ORACLE["q34_text_interval_pairs"] = _INTERVALS + _OVERLAP_COUNTS
 ORACLE["q35_text_line_numbers"] = """
 SELECT n AS line_no, (n - 1) // 3 + 1 AS batch_id, CAST(o_orderkey AS VARCHAR) AS value
 FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) t"""
+
+ORACLE["q36_error_reach"] = """
+WITH numbered AS (
+  SELECT event_id, 1 + sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (ORDER BY event_id) AS group_id FROM events
+), spans AS (
+  SELECT group_id::BIGINT AS group_id, min(event_id) AS first_id, max(event_id) AS last_id FROM numbered GROUP BY group_id
+), errors AS (
+  SELECT event_id, (event_id + floor(coalesce(value, 0)))::BIGINT AS reach FROM events WHERE event_type = 'error'
+)
+SELECT event_id, group_id, (event_id <= first_id AND last_id <= reach)::INTEGER AS is_inside
+FROM errors JOIN spans ON event_id <= last_id AND first_id <= reach"""
+
+ORACLE["q37_close_orders"] = """
+SELECT a.o_custkey, a.o_orderkey, b.o_orderkey AS right_o_orderkey
+FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey
+ AND abs(date_diff('day', a.o_orderdate::DATE, b.o_orderdate::DATE)) <= 30"""
+
+ORACLE["q38_orders_at_hand"] = """
+WITH days AS (SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY 1)
+SELECT o_orderkey, (SELECT sum(n) FROM days WHERE day BETWEEN o_orderdate::DATE - 3 AND o_orderdate::DATE + 3)::BIGINT AS n_at_hand
+FROM orders"""
+
+ORACLE["q39_view_before_purchase"] = """
+WITH pairs AS (
+  SELECT p.event_id, p.user_id, v.event_id AS view_id, v.value, p.ts - v.ts <= INTERVAL 1 DAY AS near,
+         row_number() OVER (PARTITION BY p.event_id ORDER BY v.ts DESC NULLS LAST, v.event_id DESC NULLS LAST) AS r
+  FROM events p LEFT JOIN events v ON v.event_type = 'view' AND v.user_id = p.user_id AND v.ts <= p.ts
+  WHERE p.event_type = 'purchase')
+SELECT event_id, user_id, CASE WHEN near THEN view_id END AS view_id,
+       CASE WHEN near THEN round(value * 100)::BIGINT END AS view_cents
+FROM pairs WHERE r = 1"""
+
+ORACLE["q40_error_after_signup"] = """
+WITH e AS (
+  SELECT event_id, event_type,
+         min(CASE WHEN event_type = 'error' THEN event_id END) OVER (ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS error_id
+  FROM events)
+SELECT e.event_id, e.error_id, f.user_id AS error_user FROM e LEFT JOIN events f ON f.event_id = e.error_id
+WHERE e.event_type = 'signup'"""
+
+ORACLE["q41_value_ranks"] = """
+SELECT event_id, event_type, rank() OVER w AS value_rank, dense_rank() OVER w AS value_dense_rank, cume_dist() OVER w AS value_share
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY value DESC NULLS LAST)"""
+
+ORACLE["q41b_quantity_ranks"] = """
+SELECT l_orderkey, quantity, rank() OVER w AS quantity_rank, dense_rank() OVER w AS quantity_dense_rank, percent_rank() OVER w AS quantity_share
+FROM (SELECT l_orderkey, l_quantity::INTEGER AS quantity FROM lineitem) l WINDOW w AS (ORDER BY quantity NULLS FIRST)"""
+
+ORACLE["q42_price_tiles"] = """
+SELECT o_orderkey, ntile(100) OVER (ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS tile FROM orders"""
+
+ORACLE["q43_user_neighbours"] = """
+SELECT event_id, user_id, lag(event_id) OVER w AS previous_id, lead(event_type, 2) OVER w AS later_type,
+       first_value(event_type) OVER w AS first_type,
+       last_value(event_type) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_type
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)"""
+
+ORACLE["q44_moving_cents"] = """
+SELECT event_id, (sum(cents) OVER seven)::BIGINT AS cents_7, max(cents) OVER seven AS most_7,
+       (sum(is_error) OVER (ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))::BIGINT AS errors_near
+FROM (SELECT event_id, round(value * 100)::BIGINT AS cents, (event_type = 'error')::INTEGER AS is_error FROM events) e
+WINDOW seven AS (ORDER BY event_id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
+ORACLE["q45_week_of_orders"] = """
+SELECT o_orderkey, count(*) OVER w AS n_week, (sum(round(o_totalprice * 100)::BIGINT) OVER w)::BIGINT AS cents_week
+FROM (SELECT *, o_orderdate::DATE AS day FROM orders) o
+WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)"""
