@@ -38,6 +38,8 @@ from linewise.llm.text_arrays import mix, slices
 NO_ID = (1 << 63) - 1
 #: Rows at most in the broadcast that lets documents without spans skip a shuffle.
 NEAR = 1 << 20
+#: Runs of a block: at 40 bytes each, some 40 MB with the copies made of them.
+BLOCK_RUNS = 1 << 18
 
 RUN = "core long, context long, doc long, tag long, lo long, n int, back int"
 _DTYPES = ("u4", "u4", "u2", "i8", "i8", "u4", "u2", "u2", "u1")
@@ -60,36 +62,43 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _entries(batches, runs_of: Callable, buckets: int):
-    """Packed runs; a core that several runs of a batch share is known to be repeated.
+    """Packed runs; a core that several runs of a block share is known to be repeated.
 
+    A block is a few MB of text, so memory does not grow with an Arrow batch.
     Known runs travel to buckets chosen by document, all but one of each core,
-    so a very common core puts one entry per batch into its own bucket.
+    so a very common core puts one entry per block into its own bucket.
     """
+    parts, held = [], 0
     for batch in batches:
-        parts = []
         for part in slices(batch, "text"):
             row, lo, n, back, core, context = runs_of(part.column("text"))
             doc = part.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
             tag = part.column("tag").to_numpy(zero_copy_only=False).astype(np.int64)
-            parts.append((core, context, doc[row], tag[row], lo, n, back))
-        if not parts:
-            continue
-        core, context, doc, tag, lo, n, back = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(core, kind="stable")
-        ordered = core[order]
-        same = np.zeros(len(core), bool)
-        same[1:] = ordered[1:] == ordered[:-1]
-        known = np.zeros(len(core), bool)
-        known[order] = same | np.append(same[1:], False)
-        stand_in = np.zeros(len(core), bool)
-        stand_in[order] = ~same
-        bucket = (core >> np.uint64(32)) % np.uint64(buckets)
-        away = known & ~stand_in
-        spread = mix(doc.astype(np.uint64) ^ lo.astype(np.uint64)) % np.uint64(buckets)
-        yield packed.to_batch(packed.blocks(np.where(away, spread, bucket).astype(np.int32), [
-            (core & _LOW32).astype(np.uint32), (context & _LOW32).astype(np.uint32),
-            (context >> np.uint64(48)).astype(np.uint16), doc, tag, lo.astype(np.uint32),
-            n.astype(np.uint16), back.astype(np.uint16), (known + 2 * away).astype(np.uint8)]))
+            parts.append((core, context, doc[row], tag[row], lo.astype(np.uint32), n.astype(np.uint16), back.astype(np.uint16)))
+            held += len(core)
+            if held >= BLOCK_RUNS:
+                yield _block(parts, buckets)
+                parts, held = [], 0
+    if held:
+        yield _block(parts, buckets)
+
+
+def _block(parts: list[tuple], buckets: int) -> pa.RecordBatch:
+    core, context, doc, tag, lo, n, back = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(core, kind="stable")
+    ordered = core[order]
+    same = np.zeros(len(core), bool)
+    same[1:] = ordered[1:] == ordered[:-1]
+    known = np.zeros(len(core), bool)
+    known[order] = same | np.append(same[1:], False)
+    stand_in = np.zeros(len(core), bool)
+    stand_in[order] = ~same
+    bucket = (core >> np.uint64(32)) % np.uint64(buckets)
+    away = known & ~stand_in
+    spread = mix(doc.astype(np.uint64) ^ lo.astype(np.uint64)) % np.uint64(buckets)
+    return packed.to_batch(packed.blocks(np.where(away, spread, bucket).astype(np.int32), [
+        (core & _LOW32).astype(np.uint32), (context & _LOW32).astype(np.uint32),
+        (context >> np.uint64(48)).astype(np.uint16), doc, tag, lo, n, back, (known + 2 * away).astype(np.uint8)]))
 
 
 def _kept(table: pa.Table) -> pa.Table:
@@ -143,7 +152,8 @@ def with_spans(rows: DataFrame, spans: DataFrame, columns: Sequence[str], *, onl
     A broadcast of at most 2^20 numbers lets most documents without spans skip
     the join's shuffle; the join itself decides.
     """
-    listed = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct(*columns)).alias("spans"))
+    # Repeated rows have equal spans, once each: a set, so that the list does not grow with the repeats.
+    listed = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct(*columns)).alias("spans"))
     near = _near(spans)
     key = F.pmod(F.xxhash64("doc", "tag"), F.lit(NEAR)) == F.col("near")
     joined = rows.join(near, key, "left_semi").join(listed, ["doc", "tag"], "inner" if only else "left")

@@ -133,11 +133,13 @@ def _apply(batches, width: int):
                     mask = covered(np.array([x["lo"] for x in spans]), np.array([x["n"] for x in spans]), width, len(raw))
                     kept, gone = raw[~mask], int(mask.sum())
                     runs = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum())
-                out.append((len(raw), gone, runs, hashlib.sha256(kept.tobytes()).hexdigest()))
+                kept = kept.tobytes()
+                out.append((len(raw), gone, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
             cols = list(zip(*out))
             yield pa.record_batch([part.column("doc"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                   pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())],
-                                  names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                                   pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string()),
+                                   pa.array(cols[4], pa.string())],
+                                  names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
 
 def byte_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 400) -> DataFrame:
@@ -150,10 +152,14 @@ def byte_starts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_bytes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of each row."""
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept_text of each row.
+
+    ``kept_text`` is what is left; bytes of a character that was cut are replacement characters in it.
+    """
     rows = keyed(docs, id_col, text_col)
     spans = byte_starts(docs, id_col=id_col, text_col=text_col, width=width)
     done = with_spans(rows, spans, ["lo", "n"], only=False).mapInArrow(
-        partial(_apply, width=width), "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        partial(_apply, width=width), "doc long, n_bytes long, n_removed long, n_spans long, "
+        "kept_sha256 string, kept_text string")
     return done.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
-                       "n_bytes", "n_removed", "n_spans", "kept_sha256")
+                       "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")

@@ -193,11 +193,16 @@ def _record_row(head: dict, body: bytes):
 
 def _read(batches):
     for batch in batches:
-        for name in batch.column("bundle").to_pylist():
+        frames: dict[str, list[int]] = {}
+        for name, frame in zip(batch.column("bundle").to_pylist(), batch.column("frame").to_pylist()):
+            frames.setdefault(name, []).append(frame)
+        for name, wanted in frames.items():
             fs, path = file_system(name)
             size = fs.get_file_info(path).size
             with fs.open_input_file(path) as file:
-                for at, packed, _ in read_seek_table(file, size):
+                table = read_seek_table(file, size)
+                for frame in sorted(wanted):
+                    at, packed, _ = table[frame]
                     file.seek(at)
                     data = zstandard.ZstdDecompressor().decompressobj().decompress(file.read(packed))
                     rows, place = [], 0
@@ -209,10 +214,15 @@ def _read(batches):
                                           names=["page_id", "record_type", "payload_bytes", "payload_digest", "refers_to"])
 
 
-def read_bundles(index: DataFrame) -> DataFrame:
-    """page_id, record_type, payload_bytes, payload_digest, refers_to of every record of the index's bundles."""
-    bundles = index.select("bundle").distinct()
-    return bundles.mapInArrow(_read, RECORD)
+def read_bundles(index: DataFrame, *, frames_per_task: int = 8) -> DataFrame:
+    """page_id, record_type, payload_bytes, payload_digest, refers_to of every record of the index's bundles.
+
+    Frames are dealt to tasks by a stated number of partitions, which adaptive
+    execution does not merge; each task finds its frames by the seek tables.
+    """
+    frames = index.select("bundle", "frame").distinct()
+    tasks = max(1, -(-frames.count() // frames_per_task))
+    return frames.repartition(tasks, "bundle", "frame").mapInArrow(_read, RECORD)
 
 
 def read_record(bundle: str, frame: int, offset: int, length: int) -> tuple[dict, bytes]:

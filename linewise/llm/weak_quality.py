@@ -23,6 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,11 +159,12 @@ def _examples(batches):
                                    pa.array(value, pa.list_(pa.float32()))], names=["pattern", "index", "value"])
 
 
-def fit_linear(index: list, value: list, target: np.ndarray, rounds: int = 300) -> np.ndarray:
-    """Weights (the last is the constant) of a logistic scorer for soft labels; both classes weigh the same."""
-    row = np.repeat(np.arange(len(index)), [len(x) for x in index])
-    at = np.concatenate(index).astype(np.int64) if len(row) else np.zeros(0, np.int64)
-    x = np.concatenate(value).astype(np.float64) if len(row) else np.zeros(0)
+def fit_linear(lengths: np.ndarray, at: np.ndarray, x: np.ndarray, target: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Weights (the last is the constant) of a logistic scorer for soft labels; both classes weigh the same.
+
+    The texts' feature indices and values stand one after another, ``lengths`` of each text.
+    """
+    row, at = np.repeat(np.arange(len(lengths)), lengths), at.astype(np.int64)
     share = float(np.clip(target.mean(), 0.02, 0.98)) if len(target) else 0.5
     balance = target / (2 * share) + (1 - target) / (2 * (1 - share))
     w, m, v = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
@@ -205,10 +207,11 @@ def fit_quality(docs: DataFrame, *, text_col: str = "text", sample: int = 6000)
     key = F.pmod(F.xxhash64("text", F.lit(4)), F.lit(1 << 30))
     top = int(min(1 << 30, 1.2 * sample / count.sum() * (1 << 30) + 1))
     chosen = rows.where(F.col("text").isNotNull() & (F.octet_length("text") <= 1 << 20)).where(key < top).orderBy(key).limit(sample)
-    fit = chosen.mapInArrow(_examples, "pattern long, index array<int>, value array<float>").toPandas()
+    fit = chosen.mapInArrow(_examples, "pattern long, index array<int>, value array<float>").toArrow().combine_chunks()
     told = dict(zip(pattern.tolist(), posterior.tolist()))
-    target = np.array([told[p] for p in fit["pattern"]], np.float64)
-    weights = fit_linear(list(fit["index"]), list(fit["value"]), target)
+    target = np.array([told[p] for p in fit.column("pattern").to_pylist()], np.float64)
+    flat = [pc.list_flatten(fit.column(c)).to_numpy() for c in ("index", "value")]
+    weights = fit_linear(pc.list_value_length(fit.column("index")).to_numpy(), *flat, target)
     return QualityModel(weights, pattern, posterior, rates, share)
 
 

@@ -118,10 +118,24 @@ def test_removed_bytes(spark, corpus):
                 gone[k:k + 400] = True
         spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         kept = bytes(np.frombuffer(t, np.uint8)[~gone])
-        expected[i, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+        expected[i, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")] += 1
     assert Counter(tuple(r) for r in suffix_repeats.dedup_bytes(_docs(spark, corpus)).collect()) == expected
 
 
+def test_many_repeated_rows(spark):
+    """Spans of equal rows are listed once, so thousands of equal rows cost what they hold."""
+    text = " ".join(f"w{k * k % 997}x{k}" for k in range(200))
+    rows = [(1, text, "a")] + [(5, text, "a")] * 2000 + [(None, text, "b")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    words = {(r.doc_id, r.n_removed): r["count"] for r in recompression.dedup_words(df).groupBy("doc_id", "n_removed").count().collect()}
+    assert words == {(1, 0): 1, (5, 200): 2000, (None, 200): 50}
+    size = len(text.encode())
+    gone = {(r.doc_id, r.n_removed): r["count"] for r in suffix_repeats.dedup_bytes(df).groupBy("doc_id", "n_removed").count().collect()}
+    assert gone == {(1, size): 1, (5, size): 2000, (None, size): 50}
+    left = {(r.doc_id, r.text): r["count"] for r in recompression.without_repeats(df).groupBy("doc_id", "text").count().collect()}
+    assert left == {(1, text): 1, (5, ""): 2000, (None, ""): 50}
+
+
 def test_texts_that_share_an_id_stay_apart(spark):
     """2,000 different texts under the null id and as many under one id, against brute force."""
     rng = random.Random(16)
