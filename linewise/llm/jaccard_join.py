@@ -10,13 +10,15 @@ document's connected component.  The join is exact on 64-bit shingle hashes.
    sets that link share a token among the first ``n - ceil(t n) + 1`` of each.
    These tokens travel in packed blocks by token hash; tokens of one set only
    are dropped.
-3. Groups of similar sets: each set is compared with the leader (one set) of the
-   tokens that it shares, twice with different leaders; linked sets form a group.
+3. Groups of similar sets: each set is compared with a few leaders (one set) of the
+   tokens that it shares; linked sets form a group.
 4. Token-group matrix: the union of each group's tokens.  For a set ``q`` and a
    group ``G`` that it is not in, the number of ``q``'s tokens in ``G``'s union
    bounds the overlap with any member; only groups that reach the bound open,
-   and ``q`` is compared with their members.  Within a group nothing is compared
-   again, so a group of near copies costs no quadratic work.
+   and ``q`` is compared with a few members of a few of them.  Groups that these
+   links join become one; then the matrix is asked again, and ``q`` is compared with
+   all members.  Within a group nothing is compared again, so a group of near
+   copies costs no quadratic work.
 5. Components over the links.
 
 Edge cases: a null text or one without words has ``n_shingles`` 0 and links
@@ -38,14 +40,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewise.llm import packed
-from linewise.llm.tables import components, stored
+from linewise.llm.tables import components, forget, stored
 from linewise.llm.text_arrays import mix, PLACE, signed, slices, text_buffer, unsigned, window_hashes, words_of
 
 #: At most so many frequent tokens are put last in the token order (8 MB; order only).
 MAX_FREQUENT = 1 << 20
 #: Rows at most in the broadcast that keeps texts of other sets out of a shuffle.
 NEAR = 1 << 20
-_BLOCK_TOKENS = 1 << 21
+_BLOCK_TOKENS = 1 << 22
+#: Leaders that a set is compared with in a round, and groups and members of a group before all of them.
+ATTEMPTS, FEW = 8, 4
 _TOP = np.uint64(1 << 63)
 
 
@@ -80,12 +84,12 @@ _SETS = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("text_key", pa.
 
 
 def _measure(batches, n_words: int):
-    """Each row's set key and size (kind 0), and tokens frequent in a block (kind 1: token, count)."""
-    held, count = [], 0
+    """Each row's set key and size (kind 0), and tokens that several sets of a block have (kind 1: token, sets)."""
+    held, seen, count = [], set(), 0
 
     def frequent():
         tokens, times = np.unique(np.concatenate(held), return_counts=True)
-        often = times >= 4
+        often = times > 1
         k = int(often.sum())
         return pa.record_batch([pa.array(np.ones(k, np.int8)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
                                 pa.array(signed(tokens[often])), pa.array(times[often].astype(np.int64))], schema=_SETS)
@@ -93,15 +97,18 @@ def _measure(batches, n_words: int):
     for batch in batches:
         for part in slices(batch, "text"):
             sets = list(shingle_sets(part.column("text"), n_words))
+            keys = [_digest(s) if len(s) else None for s in sets]
             yield pa.record_batch([
                 pa.array(np.zeros(len(sets), np.int8)), part.column("doc_id"), part.column("text_key"),
-                pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64())], schema=_SETS)
-            held += sets
-            count += sum(map(len, sets))
+                pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], schema=_SETS)
+            for s, key in zip(sets, keys):
+                if len(s) and key not in seen:
+                    seen.add(key)
+                    held.append(s)
+                    count += len(s)
             if count >= _BLOCK_TOKENS:
                 yield frequent()
-                held, count = [], 0
+                held, seen, count = [], set(), 0
     if count:
         yield frequent()
 
@@ -191,7 +198,7 @@ def _token_sets(nodes: DataFrame, per_doc: DataFrame, rows: DataFrame, n_words:
 
 def _verified(pairs: DataFrame, per_doc: DataFrame, rows: DataFrame, n_words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of sets that link; only the sets of these pairs are made whole."""
-    pairs = stored(pairs.select("a", "b"), "pairs")
+    pairs = stored(pairs.select("a", "b"), "pairs")  # read twice
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = _token_sets(nodes, per_doc, rows, n_words)
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
@@ -199,22 +206,36 @@ def _verified(pairs: DataFrame, per_doc: DataFrame, rows: DataFrame, n_words: in
     both = pairs.join(left, "a").join(right, "b")
     inter = F.size(F.array_intersect("ta", "tb"))
     linked = both.where(den * inter >= num * (F.size("ta") + F.size("tb") - inter)).select("a", "b")
-    return stored(linked, "found")
+    found = stored(linked, "found")
+    forget(pairs, sets)
+    return found
 
 
-def _led(shared: DataFrame, salt: int, num: int, den: int) -> DataFrame:
-    """Pairs of a set and the leader of a token that it shares; several leaders at most for each
-    token's size classes, one row per pair, if the counts allow a link."""
-    rank = F.struct(F.xxhash64(F.col("node"), F.lit(salt)), F.col("node"), F.col("n"), F.col("grp"))
+def _hopeful(rows: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose prefixes share enough tokens for a link."""
+    a = rows.select("token", F.col("node").alias("a"), "n")
+    b = rows.select("token", F.col("node").alias("b"), F.col("n").alias("m"))
+    return (pairs.join(a, "a").join(b, ["b", "token"]).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
+            .where(_reaches(F.col("n"), F.col("m"), F.col("c"), num, den)).select("a", "b"))
+
+
+def _led(rows: DataFrame, salt: int, num: int, den: int) -> DataFrame:
+    """Pairs of a set and a few leaders of tokens that it shares, if the counts allow a link.
+
+    Every token has a leader for each class of sizes, drawn by hash, so sets of
+    one family meet different members of it.
+    """
+    rank = F.struct(F.xxhash64("node", "token", F.lit(salt)).alias("h"), F.col("node"), F.col("n"), F.col("grp"))
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num) + F.lit(0.5 * (salt % 2)))
-    banded = shared.withColumn("band", band)
+    banded = rows.withColumn("band", band)
     leaders = banded.groupBy("token", "band").agg(F.min(rank).alias("lead"), F.count(F.lit(1)).alias("c"))
     met = (banded.join(leaders.where("c > 1"), ["token", "band"])
-           .select(F.col("node").alias("a"), F.col("lead.node").alias("b"), "n", F.col("lead.n").alias("m"),
-                   "grp", F.col("lead.grp").alias("g"))
-           .where("grp != g").where(_fits(F.col("n"), F.col("m"), num, den)))
-    return (met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"))
-            .where(_reaches(F.col("n"), F.col("m"), F.col("c"), num, den)).select("a", "b"))
+           .where(F.col("grp") != F.col("lead.grp")).where(_fits(F.col("n"), F.col("lead.n"), num, den))
+           .select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct())
+    # Leaders of a set: at most as many as its prefix has tokens.
+    tried = met.groupBy("a").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b"), F.col("b")))).alias("to"))
+    pairs = tried.select("a", F.explode(F.slice("to", 1, ATTEMPTS)).alias("to")).select("a", F.col("to.b").alias("b"))
+    return _hopeful(rows, pairs, num, den)
 
 
 def _grouped(shared: DataFrame, links: DataFrame) -> DataFrame:
@@ -222,11 +243,18 @@ def _grouped(shared: DataFrame, links: DataFrame) -> DataFrame:
     return shared.join(comps, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
 
 
-def _opened(grouped: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (set, member of another group) of the groups that the token-group matrix opens."""
-    crossing = (grouped.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
-                .where("lo != hi").select("token"))
-    rows = stored(grouped.join(crossing, "token"), "crossing")
+def _crossing(grouped: DataFrame) -> DataFrame:
+    """The entries of the tokens that sets of several groups share."""
+    several = (grouped.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
+               .where("lo != hi").select("token"))
+    return stored(grouped.join(several, "token"), "crossing")
+
+
+def _opened(rows: DataFrame, num: int, den: int, few: int | None = None) -> DataFrame:
+    """Pairs (set, member of another group) of the groups that the token-group matrix opens.
+
+    With ``few``, about so many groups of each set and members of each group, dealt by hash.
+    """
     matrix = rows.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     # Either direction finds the pair, so a set asks only groups of a larger id.
     asked = (rows.join(matrix, "token").where("grp < g")
@@ -238,16 +266,28 @@ def _opened(grouped: DataFrame, num: int, den: int) -> DataFrame:
     beyond = F.ceil(num * F.greatest(F.col("n"), largest) / F.lit(den)) - 1
     qualifying = asked.where((den + num) * (F.col("c") + beyond) >= num * (F.col("n") + smallest)).select("a", "n", "g")
     members = rows.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g")).distinct()
-    pairs = qualifying.join(members, "g").where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b")
+    if few is None:
+        pairs = qualifying.join(members, "g")
+    else:
+        def few_of(table: DataFrame, key: str) -> DataFrame:
+            held = table.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
+            return held.select(key, F.greatest(F.floor(F.col("held") / few), F.lit(1).cast("long")).alias(f"{key}_slots"))
+
+        def slot(of: str, slots: str):
+            return F.pmod(F.xxhash64(of), F.col(slots))
+
+        # A set asks a few of its groups, and in each a few members.
+        some = (qualifying.join(few_of(qualifying, "a"), "a")
+                .where(slot("g", "a_slots") == slot("a", "a_slots")).join(few_of(members, "g"), "g")
+                .withColumn("slot", slot("a", "g_slots")))
+        dealt = members.join(few_of(members, "g"), "g").withColumn("slot", slot("b", "g_slots")).drop("g_slots")
+        pairs = some.join(dealt, ["g", "slot"])
     # What the group's union allows is asked of each member by the tokens shared with it.
-    a = rows.select("token", F.col("node").alias("a"), "n")
-    b = rows.select("token", F.col("node").alias("b"), F.col("n").alias("m"))
-    return (pairs.join(a, "a").join(b, ["b", "token"]).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
-            .where(_reaches(F.col("n"), F.col("m"), F.col("c"), num, den)).select("a", "b"))
+    return _hopeful(rows, pairs.where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b"), num, den)
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5,
-                       threshold: tuple[int, int] = (4, 5), leader_rounds: int = 2) -> DataFrame:
+                       threshold: tuple[int, int] = (4, 5), leader_rounds: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id; ``set_key`` (equal for rows with equal sets),
     ``component_key`` (equal in a component, also without ids) and ``text_key`` (hash of the text)."""
     num, den = threshold
@@ -266,15 +306,21 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         partial(_prefixes, n_words=n_words, num=num, den=den, buckets=buckets, order=order), packed.SCHEMA)
     shared = stored(packed.by_bucket(entries, _several, "token long, node long, n long", _DTYPES), "shared")
 
+    verified = partial(_verified, per_doc=per_doc, rows=rows, n_words=n_words, num=num, den=den)
     links, grouped = None, shared.withColumn("grp", F.col("node"))
     for r in range(leader_rounds):
-        asked = _led(grouped if not r else grouped.join(
-            grouped.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
-            .select("token"), "token"), r, num, den)
-        found = _verified(asked, per_doc, rows, n_words, num, den)
+        found = verified(_led(grouped, r, num, den))
         links = found if links is None else links.unionByName(found)
         grouped = stored(_grouped(shared, links), "grouped")
-    links = links.unionByName(_verified(_opened(grouped, num, den), per_doc, rows, n_words, num, den))
+    # A few members of each group that opens first: one link joins a set to a group, and most pairs need no more.
+    crossing = _crossing(grouped)
+    links = links.unionByName(verified(_opened(crossing, num, den, FEW)))
+    forget(grouped, crossing)
+    grouped = stored(_grouped(shared, links), "grouped")
+    crossing = _crossing(grouped)
+    forget(grouped, shared)
+    links = links.unionByName(verified(_opened(crossing, num, den)))
+    forget(crossing)
 
     comps = components(links, "a", "b").withColumnRenamed("component", "comp")
     keyed = per_doc.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

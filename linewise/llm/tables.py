@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linewise.session import scratch_path
@@ -17,17 +17,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete stored tables that nothing will read again, and let Spark clear the shuffles behind them.
+
+    Only for tables all of whose results are stored themselves: a lost
+    executor then never needs them.
+    """
+    spark = None
+    for table in tables:
+        path = getattr(table, "stored_at", None)
+        if path:
+            spark, table.stored_at = table.sparkSession, None
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    if spark is not None:  # Spark's cleaner removes shuffle files once their plans are collected
+        spark._jvm.System.gc()
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _print_of(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _stored_edges(edges: DataFrame, name: str) -> tuple[DataFrame, tuple[int, int]]:
+    """The stored links with their number and the sum of their hashes, which the write itself observes."""
+    seen = Observation()
+    hashed = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
+    table = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), hashed.alias("s")), name)
+    return table, (seen.get["n"], seen.get["s"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -53,13 +74,14 @@ def components(links: DataFrame, a: str, b: str, *, max_rounds: int = 60) -> Dat
     node with very many links is split like any skewed join.  Each round is
     stored; rounds grow with the logarithm of the longest path.
     """
-    edges = stored(links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-                   .where("a is not null and b is not null and a != b").distinct(), "links")
-    before = _print_of(edges)
+    edges, before = _stored_edges(
+        links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
+        .where("a is not null and b is not null and a != b").distinct(), "links")
     if before[0]:
         for _ in range(max_rounds):
-            edges = stored(_small_star(_large_star(edges)), "stars")
-            after = _print_of(edges)
+            last = edges
+            edges, after = _stored_edges(_small_star(_large_star(last)), "stars")
+            forget(last)
             if after == before:
                 break
             before = after
