@@ -15,9 +15,9 @@ document's connected component.  The join is exact on 64-bit shingle hashes.
 4. Token-group matrix: the union of each group's tokens.  For a set ``q`` and a
    group ``G`` that it is not in, the number of ``q``'s tokens in ``G``'s union
    bounds the overlap with any member; only groups that reach the bound open,
-   and ``q`` is compared with a few members of a few of them.  Groups that these
-   links join become one; then the matrix is asked again, and ``q`` is compared with
-   all members.  Within a group nothing is compared again, so a group of near
+   and ``q`` is compared with their members.  Before that, ``q`` is compared with a
+   few members of a few groups, and groups that these links join become one.
+   Within a group nothing is compared again, so a group of near
    copies costs no quadratic work.
 5. Components over the links.
 
@@ -250,40 +250,54 @@ def _crossing(grouped: DataFrame) -> DataFrame:
     return stored(grouped.join(several, "token"), "crossing")
 
 
-def _opened(rows: DataFrame, num: int, den: int, few: int | None = None) -> DataFrame:
-    """Pairs (set, member of another group) of the groups that the token-group matrix opens.
+def _matrix(rows: DataFrame) -> DataFrame:
+    """The token-group matrix: a row for each token of a group's union."""
+    return rows.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
 
-    With ``few``, about so many groups of each set and members of each group, dealt by hash.
-    """
-    matrix = rows.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    # Either direction finds the pair, so a set asks only groups of a larger id.
-    asked = (rows.join(matrix, "token").where("grp < g")
-             .where((den * F.col("n") >= num * F.col("least_n")) & (den * F.col("most_n") >= num * F.col("n")))
-             .groupBy(F.col("node").alias("a"), "n", "g")
+
+def _members(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g")).distinct()
+
+
+def _asks(num: int, den: int):
+    """Either direction finds a pair, so a set asks only groups of a larger id, with members of a fitting size."""
+    return ((F.col("grp") < F.col("g")) & (den * F.col("n") >= num * F.col("least_n"))
+            & (den * F.col("most_n") >= num * F.col("n")))
+
+
+def _sampled(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a set and a few members of a few groups that share a token, dealt by hash: linear in the entries."""
+    def few_of(table: DataFrame, key: str) -> DataFrame:
+        held = table.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
+        return held.select(key, F.greatest(F.floor(F.col("held") / FEW), F.lit(1).cast("long")).alias(f"{key}_slots"))
+
+    def slot(of: str, slots: str):
+        return F.pmod(F.xxhash64(of), F.col(slots))
+
+    matrix = _matrix(rows)
+    groups = few_of(matrix, "token")
+    asking = rows.join(groups, "token").withColumn("place", slot("node", "token_slots"))
+    offered = matrix.join(groups, "token").withColumn("place", slot("g", "token_slots")).drop("token_slots")
+    met = (asking.join(offered, ["token", "place"]).where(_asks(num, den))
+           .select(F.col("node").alias("a"), "n", "g").distinct())
+    some = (met.join(few_of(met, "a"), "a").where(slot("g", "a_slots") == slot("a", "a_slots"))
+            .join(few_of(_members(rows), "g"), "g").withColumn("slot", slot("a", "g_slots")))
+    dealt = _members(rows).join(few_of(_members(rows), "g"), "g").withColumn("slot", slot("b", "g_slots")).drop("g_slots")
+    pairs = some.join(dealt, ["g", "slot"]).where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b")
+    return _hopeful(rows, pairs, num, den)
+
+
+def _opened(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (set, member of another group) of the groups that the token-group matrix opens."""
+    asked = (rows.join(_matrix(rows), "token").where(_asks(num, den)).groupBy(F.col("node").alias("a"), "n", "g")
              .agg(F.count(F.lit(1)).alias("c"), F.min("least_n").alias("least_n"), F.max("most_n").alias("most_n")))
     smallest = F.greatest(F.col("least_n"), F.ceil(num * F.col("n") / F.lit(den)))
     largest = F.least(F.col("most_n"), F.floor(den * F.col("n") / F.lit(num)))
     beyond = F.ceil(num * F.greatest(F.col("n"), largest) / F.lit(den)) - 1
     qualifying = asked.where((den + num) * (F.col("c") + beyond) >= num * (F.col("n") + smallest)).select("a", "n", "g")
-    members = rows.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g")).distinct()
-    if few is None:
-        pairs = qualifying.join(members, "g")
-    else:
-        def few_of(table: DataFrame, key: str) -> DataFrame:
-            held = table.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
-            return held.select(key, F.greatest(F.floor(F.col("held") / few), F.lit(1).cast("long")).alias(f"{key}_slots"))
-
-        def slot(of: str, slots: str):
-            return F.pmod(F.xxhash64(of), F.col(slots))
-
-        # A set asks a few of its groups, and in each a few members.
-        some = (qualifying.join(few_of(qualifying, "a"), "a")
-                .where(slot("g", "a_slots") == slot("a", "a_slots")).join(few_of(members, "g"), "g")
-                .withColumn("slot", slot("a", "g_slots")))
-        dealt = members.join(few_of(members, "g"), "g").withColumn("slot", slot("b", "g_slots")).drop("g_slots")
-        pairs = some.join(dealt, ["g", "slot"])
+    pairs = qualifying.join(_members(rows), "g").where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b")
     # What the group's union allows is asked of each member by the tokens shared with it.
-    return _hopeful(rows, pairs.where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b"), num, den)
+    return _hopeful(rows, pairs, num, den)
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5,
@@ -312,9 +326,9 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         found = verified(_led(grouped, r, num, den))
         links = found if links is None else links.unionByName(found)
         grouped = stored(_grouped(shared, links), "grouped")
-    # A few members of each group that opens first: one link joins a set to a group, and most pairs need no more.
+    # A few members of a few groups first: one link joins a set to a group, and most pairs need no more.
     crossing = _crossing(grouped)
-    links = links.unionByName(verified(_opened(crossing, num, den, FEW)))
+    links = links.unionByName(verified(_sampled(crossing, num, den)))
     forget(grouped, crossing)
     grouped = stored(_grouped(shared, links), "grouped")
     crossing = _crossing(grouped)
