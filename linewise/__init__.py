@@ -12,16 +12,18 @@ from linewise.functions.rules import decision_table
 from linewise.functions.sets import common_by_difference, common_elements, without
 from linewise.operators.asof_join import asof_join
 from linewise.operators.group_sets import group_common_elements
+from linewise.operators.grouping import cube_sets, grouped_sets, rollup_sets
 from linewise.operators.interval_join import interval_join, overlap_counts
 from linewise.operators.lookup import recode_join
 from linewise.operators.ranking import ends, moving, moving_range, neighbours, ranks, tiles
 from linewise.operators.reshape import unpivot_long, unpivot_totals
+from linewise.operators.sampling import sample_rows
 from linewise.operators.sequence import batch_rows, boundary_groups, row_number, running_sum
 from linewise.operators.summary import count_per, grand_total, top_k, top_k_total, total_per
 from linewise.sources.text import first_lines, read_first_lines, read_lines, read_records, record_groups
 
 __all__ = [
-    "asof_join", "batch_rows", "boundary_groups", "char_at", "chars", "common_by_difference",
+    "asof_join", "cube_sets", "grouped_sets", "rollup_sets", "sample_rows", "batch_rows", "boundary_groups", "char_at", "chars", "common_by_difference",
     "common_elements", "count_per", "decision_table", "delimited_ints", "either_contains", "ends",
     "first_lines", "fixed_width", "grand_total", "group_common_elements", "interval_join", "moving",
     "moving_range", "neighbours", "overlap_counts", "overlap_label", "overlaps", "ranks",

@@ -19,10 +19,12 @@ from linewise.functions.udf_forms import overlap_label_udf, required_move_udf
 from linewise.operators.asof_join import asof_join
 from linewise.operators.columns import drop_columns, prefix_columns, rename_columns
 from linewise.operators.group_sets import group_common_elements
+from linewise.operators.grouping import cube_sets, grouped_sets
 from linewise.operators.interval_join import interval_join, overlap_counts
 from linewise.operators.lookup import recode_join
 from linewise.operators.ranking import ends, moving, moving_range, neighbours, ranks, tiles
 from linewise.operators.reshape import unpivot_long, unpivot_totals
+from linewise.operators.sampling import sample_rows
 from linewise.operators.sequence import batch_rows, boundary_groups, row_number, running_sum
 from linewise.operators.summary import count_per, grand_total, top_k, total_per
 from linewise.plans import text_jobs
@@ -574,6 +576,28 @@ def q45_week_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                         partition_by="o_orderpriority").select("o_orderkey", "n_week", "cents_week")
 
 
+# ---------------------------------------------------------------- groupings and samples
+
+def q46_event_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events, distinct users and cents by type and day, by either, and in all."""
+    events = load(spark, sf_dir, "events").select("event_type", F.to_date("ts").cast("string").alias("day"), "user_id",
+                                                  F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return grouped_sets(events, ["event_type", "day"], cube_sets(["event_type", "day"]), distinct="user_id",
+                        sums={"total_cents": "cents"}, distinct_out="n_users")
+
+
+def q47_sample_per_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty events of each type."""
+    events = load(spark, sf_dir, "events").select("event_id", "event_type")
+    return sample_rows(events, 50, "event_id", strata="event_type", seed=7)
+
+
+def q48_orders_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two hundred orders, drawn with chances in proportion to their price."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sample_rows(orders, 200, "o_orderkey", weight="o_totalprice", seed=7).select("o_orderkey")
+
+
 QUERIES = {
     "q01_boundary_group_totals": q01_boundary_group_totals,
     "q02_top_groups": q02_top_groups,
@@ -624,4 +648,7 @@ QUERIES = {
     "q43_user_neighbours": q43_user_neighbours,
     "q44_moving_cents": q44_moving_cents,
     "q45_week_of_orders": q45_week_of_orders,
+    "q46_event_cube": q46_event_cube,
+    "q47_sample_per_type": q47_sample_per_type,
+    "q48_orders_by_price": q48_orders_by_price,
 }

@@ -366,3 +366,20 @@ ORACLE["q45_week_of_orders"] = """
 SELECT o_orderkey, count(*) OVER w AS n_week, (sum(round(o_totalprice * 100)::BIGINT) OVER w)::BIGINT AS cents_week
 FROM (SELECT *, o_orderdate::DATE AS day FROM orders) o
 WINDOW w AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)"""
+
+ORACLE["q46_event_cube"] = """
+SELECT event_type, day, grouping_id(event_type, day)::INTEGER AS grouping_id, count(*) AS n_rows,
+       count(DISTINCT user_id) AS n_users, sum(cents)::BIGINT AS total_cents
+FROM (SELECT event_type, ts::DATE::VARCHAR AS day, user_id, round(value * 100)::BIGINT AS cents FROM events) e
+GROUP BY CUBE (event_type, day)"""
+
+# The priority of a row: the first 13 hexadecimal digits of the hash of seed and key, as a number in (0, 1).
+_PRIORITY = "(('0x' || substr(md5('7' || chr(31) || {}::VARCHAR), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0"
+
+ORACLE["q47_sample_per_type"] = f"""
+SELECT event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY {_PRIORITY.format("event_id")}, event_id) <= 50"""
+
+ORACLE["q48_orders_by_price"] = f"""
+SELECT o_orderkey FROM orders WHERE o_totalprice > 0
+ORDER BY -ln({_PRIORITY.format("o_orderkey")}) / o_totalprice, o_orderkey LIMIT 200"""
