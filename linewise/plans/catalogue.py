@@ -598,6 +598,47 @@ def q48_orders_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(orders, 200, "o_orderkey", weight="o_totalprice", seed=7).select("o_orderkey")
 
 
+# ---------------------------------------------------------------- event time on streams
+
+def _window_run(spark: SparkSession, sf_dir: str, name: str, keys: list[str], **window) -> DataFrame:
+    """Events and cents of the closed windows of the events stream, an hour of lateness."""
+    from linewise.streaming.event_time import instant, run_windows
+
+    def timed(events: DataFrame) -> DataFrame:
+        return events.select(instant(events, "ts").alias("at"), "event_type", "user_id",
+                             F.round(F.col("value") * 100).cast("long").alias("cents"))
+
+    out, _ = run_windows(spark, sf_dir, timed, "at", {"n_events": F.count(F.lit(1)), "total_cents": F.sum("cents")},
+                         name=name, lateness="1 hour", keys=keys, file_glob="events.parquet", **window)
+    return spark.read.parquet(out).select(F.unix_micros("window_start").alias("from_us"),
+                                          F.unix_micros("window_end").alias("to_us"), *keys, "n_events", "total_cents")
+
+
+def q49_daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling days per event type, from a watermarked stream."""
+    return _window_run(spark, sf_dir, "stream-days", ["event_type"], size="1 day")
+
+
+def q50_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of six hours, a new one every two hours, per event type, from a watermarked stream."""
+    return _window_run(spark, sf_dir, "stream-slides", ["event_type"], size="6 hours", slide="2 hours")
+
+
+def q51_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user, four hours apart, from a watermarked stream."""
+    return _window_run(spark, sf_dir, "stream-sessions", ["user_id"], gap="4 hours")
+
+
+def q52_stream_user_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events in groups that a signup opens, numbered over a stream."""
+    from linewise.streaming.event_time import read_groups, run_boundary_groups
+
+    out = run_boundary_groups(spark, sf_dir, lambda events: events.select("event_id", "user_id", "event_type"),
+                              F.col("event_type") == "signup", "event_id", partition_by="user_id",
+                              name="stream-user-groups", file_glob="events.parquet")
+    return read_groups(spark, out).select("event_id", "user_id", "group_id")
+
+
 QUERIES = {
     "q01_boundary_group_totals": q01_boundary_group_totals,
     "q02_top_groups": q02_top_groups,
@@ -651,4 +692,8 @@ QUERIES = {
     "q46_event_cube": q46_event_cube,
     "q47_sample_per_type": q47_sample_per_type,
     "q48_orders_by_price": q48_orders_by_price,
+    "q49_daily_windows": q49_daily_windows,
+    "q50_sliding_windows": q50_sliding_windows,
+    "q51_user_sessions": q51_user_sessions,
+    "q52_stream_user_groups": q52_stream_user_groups,
 }

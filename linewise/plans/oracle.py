@@ -383,3 +383,29 @@ QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY {_PRIORITY.format("e
 ORACLE["q48_orders_by_price"] = f"""
 SELECT o_orderkey FROM orders WHERE o_totalprice > 0
 ORDER BY -ln({_PRIORITY.format("o_orderkey")}) / o_totalprice, o_orderkey LIMIT 200"""
+
+# Windows are closed when the watermark, the latest event (in whole milliseconds) less an hour, has reached their end.
+_TIMED = """WITH e AS (SELECT epoch_us(ts) AS us, event_type, user_id, round(value * 100)::BIGINT AS cents FROM events),
+m AS (SELECT max(us) // 1000 * 1000 - 3600000000 AS mark FROM e)
+"""
+_WINDOWS = _TIMED + """, w AS (SELECT (us // {slide} - k) * {slide} AS from_us, us, event_type, cents
+    FROM e, range({copies}) r(k))
+SELECT from_us::BIGINT AS from_us, (from_us + {size})::BIGINT AS to_us, event_type, count(*) AS n_events,
+       sum(cents)::BIGINT AS total_cents
+FROM w WHERE from_us + {size} <= (SELECT mark FROM m) GROUP BY from_us, event_type"""
+
+ORACLE["q49_daily_windows"] = _WINDOWS.format(size=86400000000, slide=86400000000, copies=1)
+ORACLE["q50_sliding_windows"] = _WINDOWS.format(size=21600000000, slide=7200000000, copies=3)
+
+ORACLE["q51_user_sessions"] = _TIMED + """,
+n AS (SELECT *, CASE WHEN us <= lag(us) OVER u + 14400000000 THEN 0 ELSE 1 END AS opens FROM e
+      WINDOW u AS (PARTITION BY user_id ORDER BY us)),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY us) AS session FROM n)
+SELECT min(us) AS from_us, (max(us) + 14400000000)::BIGINT AS to_us, user_id, count(*) AS n_events,
+       sum(cents)::BIGINT AS total_cents
+FROM s GROUP BY user_id, session HAVING max(us) + 14400000000 <= (SELECT mark FROM m)"""
+
+ORACLE["q52_stream_user_groups"] = """
+SELECT event_id, user_id, (1 + sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END)
+    OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS group_id
+FROM events"""
