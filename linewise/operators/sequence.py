@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linewise.session import scratch_path
+
 _BUCKET = "__lw_bucket"
 _KEY = "__lw_key"
 _VALUE = "__lw_value"
@@ -28,8 +30,10 @@ _OFFSET = "__lw_offset"
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 16
 DEFAULT_MAX_BUCKETS = 1 << 18
-#: Buckets at most for keys (strings, ...) that are cut by sampled edges.
-MAX_SAMPLED_BUCKETS = 256
+#: Buckets at most that one level of sampled edges makes (strings and other keys that are no numbers); strings have two.
+MAX_SAMPLED_BUCKETS = 512
+#: Characters at most of a string edge: 2**18 edges are at most 32 Mi characters.
+EDGE_CHARS = 128
 
 
 def _names(cols: str | Sequence[str] | None) -> list[str]:
@@ -106,16 +110,27 @@ def _integral(df: DataFrame, key: str):
     return None
 
 
-def _sampled_bucket(df: DataFrame, key: str, out: str, rows_per_bucket: int) -> DataFrame:
-    """Bucket any other sortable key by edges from a bounded hash sample of its values."""
+def _hash_share(key: str, share: float):
+    """Rows drawn by hash, about ``share`` of them."""
+    return F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.lit(1 << 30)) < max(1, int(min(1.0, share) * (1 << 30)))
+
+
+def _sampled_bucket(df: DataFrame, key: str, out: str, rows_per_bucket: int,
+                    max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
+    """Bucket any other sortable key by edges from a bounded hash sample of its values.
+
+    A string key of more rows than one level of edges can cut gets a second
+    level inside each of these buckets.
+    """
     n = df.count()
     n_buckets = max(1, min(MAX_SAMPLED_BUCKETS, math.ceil(n / rows_per_bucket)))
-    top = max(1, int(min(1 << 30, 64 * n_buckets / max(1, n) * (1 << 30))))
-    sample = (df.select(key).where(F.col(key).isNotNull())
-              .where(F.pmod(F.xxhash64(key, F.monotonically_increasing_id()), F.lit(1 << 30)) < top)
-              .orderBy(key).limit(128 * n_buckets).collect())
+    text = df.schema[key].dataType.typeName() == "string"
+    edge = F.substring(key, 1, EDGE_CHARS) if text else F.col(key)  # any string can be an edge, so a cut one too
+    sample = (df.select(key).where(F.col(key).isNotNull()).where(_hash_share(key, 64 * n_buckets / max(1, n)))
+              .select(edge.alias(key)).orderBy(key).limit(128 * n_buckets).collect())
     values = [r[0] for r in sample]
-    edges = sorted({values[len(values) * k // n_buckets] for k in range(1, n_buckets)}) if values else []
+    edges = sorted({values[len(values) * k // n_buckets] for k in range(1, n_buckets)},
+                   key=lambda e: e.encode() if text else e) if values else []
 
     def pick(lo: int, hi: int):
         # A balanced tree of comparisons: bucket k holds edges[k-1] <= key < edges[k].
@@ -124,7 +139,37 @@ def _sampled_bucket(df: DataFrame, key: str, out: str, rows_per_bucket: int) ->
         mid = (lo + hi) // 2
         return F.when(F.col(key) < F.lit(edges[mid]), pick(lo, mid)).otherwise(pick(mid + 1, hi))
 
-    return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1).cast("long")).otherwise(pick(0, len(edges))))
+    first = df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1).cast("long")).otherwise(pick(0, len(edges))))
+    inner = min(MAX_SAMPLED_BUCKETS, max_buckets // max(1, len(edges) + 1), math.ceil(n / (rows_per_bucket * (len(edges) + 1))))
+    return _inner_bucket(first, key, out, inner, 32 * inner * (len(edges) + 1) / max(1, n)) if text and inner > 1 else first
+
+
+def _inner_bucket(df: DataFrame, key: str, out: str, inner: int, share: float) -> DataFrame:
+    """Cut each bucket of a string key into up to ``inner`` by edges of its own.
+
+    The edges are at even places among a bucket's distinct sampled keys (a key
+    that holds a third of the rows counts once), written once so that every
+    reader sees the same ones, and broadcast: at most ``max_buckets`` edges of
+    ``EDGE_CHARS`` characters.
+    """
+    kept = (df.where(F.col(key).isNotNull()).where(_hash_share(key, share))
+            .select(F.col(out).alias("__lw_b"), F.substring(key, 1, EDGE_CHARS).alias("__lw_e")).distinct())
+    listed = kept.groupBy("__lw_b").agg(F.array_sort(F.collect_list("__lw_e")).alias("__lw_all"))
+    place = f"int(size(__lw_all) * cast(k as bigint) div {inner})"
+    cut = f"array_distinct(transform(sequence(1, {inner - 1}), k -> get(__lw_all, {place})))"
+    path = scratch_path(df.sparkSession, "edges")
+    listed.select("__lw_b", F.expr(cut).alias("__lw_edges")).write.parquet(path)
+    edges = df.sparkSession.read.schema("__lw_b long, __lw_edges array<string>").parquet(path)
+    found = (df.join(F.broadcast(edges), F.col(out) == F.col("__lw_b"), "left")
+             .withColumn("__lw_at", F.lit(0)))
+    # Binary search, one projection a step: how many edges are not above the key.
+    step = 1 << (inner - 1).bit_length()
+    while step > 1:
+        step //= 2
+        reached = F.coalesce(F.expr(f"get(__lw_edges, __lw_at + {step - 1})") <= F.col(key), F.lit(False))
+        found = found.withColumn("__lw_at", F.col("__lw_at") + F.when(reached, step).otherwise(0))
+    whole = F.when(F.col(out) < 0, F.col(out)).otherwise(F.col(out) * inner + F.col("__lw_at"))
+    return found.withColumn(out, whole).drop("__lw_b", "__lw_edges", "__lw_at")
 
 
 def _bucketed(df: DataFrame, order_by: list[str], bucket: str | Sequence[str] | None,
@@ -151,7 +196,7 @@ def _bucketed(df: DataFrame, order_by: list[str], bucket: str | Sequence[str] |
         return out.drop(_KEY), [_BUCKET], True
     if kind in ("double", "float") or kind.startswith("decimal"):
         return add_quantile_bucket(df, key, rows_per_bucket=rows_per_bucket, max_buckets=max_buckets), [_BUCKET], True
-    return _sampled_bucket(df, key, _BUCKET, rows_per_bucket), [_BUCKET], True
+    return _sampled_bucket(df, key, _BUCKET, rows_per_bucket, max_buckets), [_BUCKET], True
 
 
 def _prefix(df: DataFrame, local_expr, bucket_total_expr, order_by, partition_by, bucket,
