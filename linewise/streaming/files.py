@@ -3,7 +3,8 @@
 The parse / recode / rule / interval operators are plain Column expressions,
 so they apply unchanged to a streaming DataFrame.  The order-sensitive
 operators (``operators.sequence``) need a total order over the whole input and
-stay batch-only: Spark rejects non-time windows on streams.
+stay batch-only: Spark rejects non-time windows on streams.  ``event_time`` has
+boundary groups that go on from batch to batch, and event-time windows.
 
 Runs here are incremental and restartable: progress and the file sink's log
 live under a checkpoint folder in the shared folder, so a lost executor or a
