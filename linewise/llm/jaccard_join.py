@@ -12,13 +12,16 @@ document's connected component.  The join is exact on 64-bit shingle hashes.
    are dropped.
 3. Groups of similar sets: each set is compared with a few leaders (one set) of the
    tokens that it shares; linked sets form a group.
-4. Token-group matrix: the union of each group's tokens.  For a set ``q`` and a
-   group ``G`` that it is not in, the number of ``q``'s tokens in ``G``'s union
-   bounds the overlap with any member; only groups that reach the bound open,
-   and ``q`` is compared with their members.  Before that, ``q`` is compared with a
-   few members of a few groups, and groups that these links join become one.
-   Within a group nothing is compared again, so a group of near
-   copies costs no quadratic work.
+   Then each set is compared with a few members of a few groups, and groups that
+   these links join become one.
+4. Token-group matrix: groups that share their most common token form a family,
+   and the matrix holds the union of each family's tokens.  For a set ``q`` and
+   a family ``G`` the number of ``q``'s tokens in ``G``'s union bounds the overlap with
+   any member; only families that reach the bound open, and ``q`` is compared with
+   their members of other groups, first by the tokens that both prefixes hold, then
+   as whole sets.  Within a group nothing is compared again, so a group of
+   linked copies costs no quadratic work; sets of one family that do not link
+   are compared once each, in blocks.
 5. Components over the links.
 
 Edge cases: a null text or one without words has ``n_shingles`` 0 and links
@@ -50,6 +53,8 @@ NEAR = 1 << 20
 _BLOCK_TOKENS = 1 << 22
 #: Leaders that a set is compared with in a round, and groups and members of a group before all of them.
 ATTEMPTS, FEW = 8, 4
+#: Members of a family that one block of comparisons holds.
+_BLOCK_SETS = 256
 _TOP = np.uint64(1 << 63)
 
 
@@ -211,15 +216,23 @@ def _verified(pairs: DataFrame, per_doc: DataFrame, rows: DataFrame, n_words: in
     return found
 
 
-def _hopeful(rows: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+def _prefix_arrays(shared: DataFrame) -> DataFrame:
+    """node, n, head: the prefix tokens of a set that other sets have too, in one row."""
+    return stored(shared.groupBy("node", "n").agg(F.collect_list("token").alias("head")), "heads")
+
+
+def _hopeful(heads: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose prefixes share enough tokens for a link."""
-    a = rows.select("token", F.col("node").alias("a"), "n")
-    b = rows.select("token", F.col("node").alias("b"), F.col("n").alias("m"))
-    return (pairs.join(a, "a").join(b, ["b", "token"]).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
-            .where(_reaches(F.col("n"), F.col("m"), F.col("c"), num, den)).select("a", "b"))
+    a = heads.select(F.col("node").alias("a"), "n", F.col("head").alias("x"))
+    b = heads.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("head").alias("y"))
+    return pairs.join(a, "a").join(b, "b").where(_heads_reach(num, den)).select("a", "b")
+
 
+def _heads_reach(num: int, den: int):
+    return _reaches(F.col("n"), F.col("m"), F.size(F.array_intersect("x", "y")), num, den)
 
-def _led(rows: DataFrame, salt: int, num: int, den: int) -> DataFrame:
+
+def _led(rows: DataFrame, heads: DataFrame, salt: int, num: int, den: int) -> DataFrame:
     """Pairs of a set and a few leaders of tokens that it shares, if the counts allow a link.
 
     Every token has a leader for each class of sizes, drawn by hash, so sets of
@@ -235,12 +248,30 @@ def _led(rows: DataFrame, salt: int, num: int, den: int) -> DataFrame:
     # Leaders of a set: at most as many as its prefix has tokens.
     tried = met.groupBy("a").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("a", "b"), F.col("b")))).alias("to"))
     pairs = tried.select("a", F.explode(F.slice("to", 1, ATTEMPTS)).alias("to")).select("a", F.col("to.b").alias("b"))
-    return _hopeful(rows, pairs, num, den)
+    return _hopeful(heads, pairs, num, den)
+
 
+def _merged(comps: DataFrame | None, found: DataFrame) -> DataFrame:
+    """node, component after more links: only the components so far are joined further, not their nodes again."""
+    if comps is None:
+        return stored(components(found, "a", "b"), "comps")
+    def mapped(side: str):
+        of = comps.select(F.col("node").alias(side), F.col("component").alias(f"{side}_comp"))
+        return of, F.coalesce(f"{side}_comp", side).alias(side)
+    (of_a, comp_a), (of_b, comp_b) = mapped("a"), mapped("b")
+    between = found.join(of_a, "a", "left").join(of_b, "b", "left").select(comp_a, comp_b).where("a != b")
+    moved = stored(components(between, "a", "b"), "moved")
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    older = comps.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    newer = moved.join(comps, "node", "left_anti").select("node", "component")
+    merged = stored(older.unionByName(newer), "comps")
+    forget(comps, moved)
+    return merged
 
-def _grouped(shared: DataFrame, links: DataFrame) -> DataFrame:
-    comps = components(links, "a", "b").withColumnRenamed("component", "grp")
-    return shared.join(comps, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
+
+def _grouped(shared: DataFrame, comps: DataFrame) -> DataFrame:
+    grp = comps.select("node", F.col("component").alias("grp"))
+    return shared.join(grp, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
 
 
 def _crossing(grouped: DataFrame) -> DataFrame:
@@ -250,22 +281,22 @@ def _crossing(grouped: DataFrame) -> DataFrame:
     return stored(grouped.join(several, "token"), "crossing")
 
 
-def _matrix(rows: DataFrame) -> DataFrame:
+def _matrix(rows: DataFrame, key: str = "grp") -> DataFrame:
     """The token-group matrix: a row for each token of a group's union."""
-    return rows.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    return rows.groupBy("token", F.col(key).alias("g")).agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
 
 
 def _members(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g")).distinct()
 
 
-def _asks(num: int, den: int):
+def _asks(num: int, den: int, key: str = "grp"):
     """Either direction finds a pair, so a set asks only groups of a larger id, with members of a fitting size."""
-    return ((F.col("grp") < F.col("g")) & (den * F.col("n") >= num * F.col("least_n"))
+    return ((F.col(key) < F.col("g")) & (den * F.col("n") >= num * F.col("least_n"))
             & (den * F.col("most_n") >= num * F.col("n")))
 
 
-def _sampled(rows: DataFrame, num: int, den: int) -> DataFrame:
+def _sampled(rows: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of a set and a few members of a few groups that share a token, dealt by hash: linear in the entries."""
     def few_of(table: DataFrame, key: str) -> DataFrame:
         held = table.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
@@ -284,20 +315,52 @@ def _sampled(rows: DataFrame, num: int, den: int) -> DataFrame:
             .join(few_of(_members(rows), "g"), "g").withColumn("slot", slot("a", "g_slots")))
     dealt = _members(rows).join(few_of(_members(rows), "g"), "g").withColumn("slot", slot("b", "g_slots")).drop("g_slots")
     pairs = some.join(dealt, ["g", "slot"]).where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b")
-    return _hopeful(rows, pairs, num, den)
+    return _hopeful(heads, pairs, num, den)
+
 
+def _families(rows: DataFrame) -> DataFrame:
+    """The entries with ``fam``: groups whose most shared token (by number of groups) is the same are one family.
 
-def _opened(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (set, member of another group) of the groups that the token-group matrix opens."""
-    asked = (rows.join(_matrix(rows), "token").where(_asks(num, den)).groupBy(F.col("node").alias("a"), "n", "g")
+    Sets that are similar, but not enough to link, share most of their tokens;
+    with a row for each of them the token-group matrix would meet each token
+    as often as its sets squared.  The groups of a family share a token, so
+    the comparisons inside it are some of those that this one token asks for.
+    """
+    held = stored(rows.groupBy("token", "grp").agg(F.count(F.lit(1)).alias("c")), "held")
+    known = held.groupBy("token").agg(F.count(F.lit(1)).alias("known"))
+    fams = (held.join(known, "token").groupBy("grp")
+            .agg(F.max_by("token", F.struct("known", "token")).alias("fam")))
+    families = stored(rows.join(fams, "grp"), "families")
+    forget(held)
+    return families
+
+
+def _opened(rows: DataFrame, heads: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (set, member of another group) of the families that the token-group matrix opens."""
+    asked = (rows.join(_matrix(rows, "fam"), "token").where(_asks(num, den, "fam"))
+             .groupBy(F.col("node").alias("a"), "n", "grp", "g")
              .agg(F.count(F.lit(1)).alias("c"), F.min("least_n").alias("least_n"), F.max("most_n").alias("most_n")))
     smallest = F.greatest(F.col("least_n"), F.ceil(num * F.col("n") / F.lit(den)))
     largest = F.least(F.col("most_n"), F.floor(den * F.col("n") / F.lit(num)))
     beyond = F.ceil(num * F.greatest(F.col("n"), largest) / F.lit(den)) - 1
-    qualifying = asked.where((den + num) * (F.col("c") + beyond) >= num * (F.col("n") + smallest)).select("a", "n", "g")
-    pairs = qualifying.join(_members(rows), "g").where(_fits(F.col("n"), F.col("m"), num, den)).select("a", "b")
-    # What the group's union allows is asked of each member by the tokens shared with it.
-    return _hopeful(rows, pairs, num, den)
+    qualifying = asked.where((den + num) * (F.col("c") + beyond) >= num * (F.col("n") + smallest))
+    members = rows.select("node", "n", "grp", "fam").distinct()
+    own = members.select(F.col("node").alias("a"), "n", "grp", F.col("fam").alias("g"))  # its union holds all of them
+    blocks = members.groupBy(F.col("fam").alias("g")).agg(F.count_distinct("grp").alias("groups"), F.expr(
+        f"(count(1) + {_BLOCK_SETS - 1}) div {_BLOCK_SETS}").alias("blocks")).withColumn("several", F.col("groups") > 1)
+    opened = (qualifying.select("a", "n", "grp", "g", F.lit(False).alias("own"))
+              .unionByName(own.withColumn("own", F.lit(True))).join(blocks, "g").where("several or not own")
+              .join(heads.select(F.col("node").alias("a"), F.col("head").alias("x")), "a")
+              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    dealt = (members.withColumnsRenamed({"node": "b", "n": "m", "grp": "other", "fam": "g"}).join(blocks, "g")
+             .join(heads.select(F.col("node").alias("b"), F.col("head").alias("y")), "b")
+             .select("b", "m", "other", "g", "y", F.pmod(F.xxhash64("b"), "blocks").alias("block")))
+    # What the family's union allows is asked of each member by the tokens shared with it, inside the join.
+    asks = F.when(F.col("own"), F.col("grp") < F.col("other")).otherwise(F.lit(True))
+    o, d = opened.alias("o"), dealt.alias("d")
+    return (o.join(d, (F.col("o.g") == F.col("d.g")) & (F.col("o.block") == F.col("d.block")) & asks
+                   & _fits(F.col("n"), F.col("m"), num, den) & _heads_reach(num, den))
+            .select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5,
@@ -321,22 +384,22 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     shared = stored(packed.by_bucket(entries, _several, "token long, node long, n long", _DTYPES), "shared")
 
     verified = partial(_verified, per_doc=per_doc, rows=rows, n_words=n_words, num=num, den=den)
-    links, grouped = None, shared.withColumn("grp", F.col("node"))
+    heads = _prefix_arrays(shared)
+    comps, grouped = None, shared.withColumn("grp", F.col("node"))
     for r in range(leader_rounds):
-        found = verified(_led(grouped, r, num, den))
-        links = found if links is None else links.unionByName(found)
-        grouped = stored(_grouped(shared, links), "grouped")
+        comps = _merged(comps, verified(_led(grouped, heads, r, num, den)))
+        grouped = _grouped(shared, comps)
     # A few members of a few groups first: one link joins a set to a group, and most pairs need no more.
     crossing = _crossing(grouped)
-    links = links.unionByName(verified(_sampled(crossing, num, den)))
-    forget(grouped, crossing)
-    grouped = stored(_grouped(shared, links), "grouped")
-    crossing = _crossing(grouped)
-    forget(grouped, shared)
-    links = links.unionByName(verified(_opened(crossing, num, den)))
+    comps = _merged(comps, verified(_sampled(crossing, heads, num, den)))
     forget(crossing)
+    crossing = _crossing(_grouped(shared, comps))
+    families = _families(crossing)
+    forget(crossing, shared)
+    comps = _merged(comps, verified(_opened(families, heads, num, den)))
+    forget(families, heads)
 
-    comps = components(links, "a", "b").withColumnRenamed("component", "comp")
+    comps = comps.withColumnRenamed("component", "comp")
     keyed = per_doc.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     keyed = stored(keyed.select("doc_id", "text_key", "node", "n", "comp"), "keyed")
     least = keyed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
