@@ -11,8 +11,9 @@ give the lexicon and the trees, remainder 4 the calibration.  Ids, sources,
 languages and labels are never features.
 
 Edge cases: a null or empty text has all features 0 and gets that score.  Null
-ids are not held out and not trained on.  Repeated rows score alike.  Documents
-without labels are scored as all others.  With no labels, or of one class only,
+ids are not held out and not trained on.  Repeated rows score alike.  An id whose
+labels disagree is not trained on; of several texts with one id, the one with the
+smallest hash is.  Documents without labels are scored as all others.  With no labels, or of one class only,
 the score is that class's share (0 for none).  Extra columns are ignored; empty
 tables give empty results.
 """
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewise.llm.tables import stored
 from linewise.llm.text_arrays import byte_sums, mix, powers, signed, slices, text_buffer, words_of
 
 # Second-person words (English, German, French, Spanish).
@@ -235,9 +237,9 @@ def _featured(batches, shared):
     lexicon, strength = shared.value
     for batch in batches:
         for part in slices(batch, "text"):
-            yield pa.record_batch([part.column("toxic"), part.column("fold"),
+            yield pa.record_batch([part.column("id"), part.column("toxic"), part.column("fold"),
                                    pa.array(list(features(part.column("text"), lexicon, strength)), pa.list_(pa.float64()))],
-                                  names=["toxic", "fold", "x"])
+                                  names=["id", "toxic", "fold", "x"])
 
 
 def fold(id_col: str):
@@ -247,12 +249,15 @@ def fold(id_col: str):
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", sample: int = 20_000) -> ToxicityModel:
     spark = docs.sparkSession
-    chosen = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
-              .where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull()).withColumn("fold", fold("id")).where("fold != 0")
-              .dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample))
-    # At most ``sample`` rows: a proven bound.
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    rows = rows.where(F.col("text").isNotNull())
+    told = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
+            .where(F.col("label").isin(0, 1) & F.col("id").isNotNull()).withColumn("fold", fold("id")).where("fold != 0"))
+    agreed = (told.groupBy("id", "fold").agg(F.min("label").alias("toxic"), F.max("label").alias("most"))
+              .where("toxic = most").drop("most"))
+    chosen = agreed.orderBy(F.xxhash64("id"), "id").limit(sample)
+    # At most ``sample`` labels, and one text of each: a proven bound.
+    labelled = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.octet_length("text"))).alias("text")
+    rows = stored(labelled.join(F.broadcast(chosen), "id").groupBy("id", "toxic", "fold").agg(one), "labelled")
     train = rows.where("fold != 4")
     per = train.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).first()
     n, pos = per["n"] or 0, per["pos"] or 0
@@ -268,8 +273,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     order = np.argsort(stem)
     words = (stem[order], lexicon["odds"].to_numpy(np.float64)[order])
     shared = spark.sparkContext.broadcast(words)
-    data = rows.select("text", "toxic", "fold").mapInArrow(partial(_featured, shared=shared), "toxic int, fold int, x array<double>").toPandas()
-    x, y, part = np.array(data["x"].tolist()), data["toxic"].to_numpy(np.float64), data["fold"].to_numpy()
+    data = rows.mapInArrow(partial(_featured, shared=shared), "id long, toxic int, fold int, x array<double>").toArrow()
+    data = data.combine_chunks().sort_by("id")  # the sums of a rerun run in the same order
+    y, part = data.column("toxic").to_numpy().astype(np.float64), data.column("fold").to_numpy()
+    x = data.column("x").combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     trees = Boosted().fit(x[part != 4], y[part != 4])
     held = part == 4 if len(set(y[part == 4])) == 2 else part != 4
     points, values = isotonic(trees.raw(x[held]), y[held])
