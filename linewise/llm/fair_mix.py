@@ -127,11 +127,18 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that the mix takes, with all their columns and size, source_size, target, taken, copies."""
+    """The documents that the mix takes, with all their columns and size, source_size, target, taken, copies.
+
+    A column of the documents keeps its name and values; of the five, one whose
+    name the documents have already is called ``mix_`` and its name.
+    """
     # The same id and text have the same key and the same decision.
-    taken = (mix_sources(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0")
-             .dropDuplicates(["key"]).select("key", "size", "source_size", "target", "taken", "copies"))
-    added = [c for c in taken.columns if c != "key"]
-    clear = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added],
-                        shuffle_key(id_col, text_col).alias("__key"))
-    return clear.join(taken, F.col("__key") == F.col("key")).drop("__key", "key")
+    taken = mix_sources(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0").dropDuplicates(["key"])
+    names = {}
+    for c in ("size", "source_size", "target", "taken", "copies"):
+        names[c] = c
+        while names[c].lower() in {x.lower() for x in docs.columns}:
+            names[c] = f"mix_{names[c]}"
+    chosen = taken.select(F.col("key").alias("__mix_key"), *[F.col(c).alias(f"__mix_{c}") for c in names])
+    return (docs.join(chosen, shuffle_key(id_col, text_col) == F.col("__mix_key"))
+            .select(*[F.col(f"`{c}`") for c in docs.columns], *[F.col(f"__mix_{c}").alias(names[c]) for c in names]))
