@@ -8,7 +8,10 @@ key up.  No window ever sees the ties.
 Neighbours (lag, lead) and moving frames need rows of other buckets.  Every
 bucket gets copies of the rows just before and after it (its halo); a window
 inside the bucket then sees all rows of a frame, and results are kept for the
-bucket's own rows only.
+bucket's own rows only.  With partitions, only those of more than
+``rows_per_bucket`` rows are cut into buckets and have halos; a smaller one is a
+bucket by itself, so that many small partitions, each spread over the whole
+order, make no copies.
 """
 
 from __future__ import annotations
@@ -18,11 +21,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linewise.operators.interval_join import interval_join
+from linewise.operators.interval_join import MAX_BROADCAST_BINS, interval_join
 from linewise.operators.sequence import (_BUCKET, DEFAULT_MAX_BUCKETS, DEFAULT_ROWS_PER_BUCKET, _bucketed, _integral,
                                          _key_stats, _names, row_number, running_sum)
 
 RANKS = ("rank", "dense_rank", "percent_rank", "cume_dist")
+#: Rows of each cut partition that a bucket holds on average, or more: its halo is small beside them.
+LEAST_SLOT_ROWS = 256
 
 
 def ranks(df: DataFrame, order_by: str | Sequence[str], *, partition_by: str | Sequence[str] | None = None,
@@ -127,6 +132,38 @@ def _edges(framed: DataFrame, parts: list[str], bucket: list[str], order: list[s
     return copies
 
 
+def _with_halos(df: DataFrame, parts: list[str], order: list[str], before: int, after: int, rows_per_bucket: int,
+                max_buckets: int) -> tuple[DataFrame, list[str]]:
+    """Rows with ``__own`` and their halo copies without it, and the columns (with the buckets') that windows are partitioned by.
+
+    There are no copies and no buckets when each partition has ``rows_per_bucket`` rows at most.
+    """
+    whole, cut = None, df
+    if parts:
+        large = (df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_bucket)
+                 .select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(parts)]))
+        known = large.limit(MAX_BROADCAST_BINS + 1).collect()
+        if not known:
+            return df.withColumn("__own", F.lit(True)), parts
+        n_large = len(known)
+        if n_large <= MAX_BROADCAST_BINS:  # a checked size: at most so many keys
+            large = F.broadcast(df.sparkSession.createDataFrame(known, large.schema))
+        else:
+            n_large = large.count()
+        same = [F.col(c).eqNullSafe(F.col(f"__h{i}")) for i, c in enumerate(parts)]
+        whole, cut = df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
+        # Buckets are ranges of the order, which all cut partitions share.
+        rows_per_bucket = max(rows_per_bucket, min(rows_per_bucket, LEAST_SLOT_ROWS) * n_large)
+    framed, bucket, _ = _bucketed(cut, order, None, rows_per_bucket, max_buckets)
+    own = framed.withColumn("__own", F.lit(True))
+    copies = _edges(framed, parts, bucket, order, before, after)
+    if copies is not None:
+        own = own.unionByName(copies.withColumn("__own", F.lit(False)))
+    if whole is not None:
+        own = own.unionByName(whole.withColumns({**{c: F.lit(0).cast("long") for c in bucket}, "__own": F.lit(True)}))
+    return own, [*parts, *bucket]
+
+
 def moving(df: DataFrame, columns: Mapping[str, Column], order_by: str | Sequence[str], *, rows: tuple[int, int],
            partition_by: str | Sequence[str] | None = None, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
            max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
@@ -140,12 +177,8 @@ def moving(df: DataFrame, columns: Mapping[str, Column], order_by: str | Sequenc
     if low > high:
         raise ValueError("the frame starts after it ends")
     order, parts = _names(order_by), _names(partition_by)
-    framed, bucket, _ = _bucketed(df, order, None, rows_per_bucket, max_buckets)
-    own = framed.withColumn("__own", F.lit(True))
-    copies = _edges(framed, parts, bucket, order, max(0, -low), max(0, high))
-    if copies is not None:
-        own = own.unionByName(copies.withColumn("__own", F.lit(False)))
-    frame = Window.partitionBy(*parts, *bucket).orderBy(*order).rowsBetween(low, high)
+    own, slots = _with_halos(df, parts, order, max(0, -low), max(0, high), rows_per_bucket, max_buckets)
+    frame = Window.partitionBy(*slots).orderBy(*order).rowsBetween(low, high)
     kept = [c for c in df.columns if c not in columns]
     return own.select(*kept, "__own", *[c.over(frame).alias(name) for name, c in columns.items()]).where("__own").drop("__own")
 
@@ -158,13 +191,10 @@ def neighbours(df: DataFrame, columns: Mapping[str, tuple[str, int]], order_by:
     Null where there is no such row; the order must be unique within a partition.
     """
     order, parts = _names(order_by), _names(partition_by)
-    framed, bucket, _ = _bucketed(df, order, None, rows_per_bucket, max_buckets)
     steps = [int(k) for _, k in columns.values()]
-    own = framed.withColumn("__own", F.lit(True))
-    copies = _edges(framed, parts, bucket, order, max(0, -min(steps, default=0)), max(0, max(steps, default=0)))
-    if copies is not None:
-        own = own.unionByName(copies.withColumn("__own", F.lit(False)))
-    near = Window.partitionBy(*parts, *bucket).orderBy(*order)
+    own, slots = _with_halos(df, parts, order, max(0, -min(steps, default=0)), max(0, max(steps, default=0)),
+                             rows_per_bucket, max_buckets)
+    near = Window.partitionBy(*slots).orderBy(*order)
     kept = [c for c in df.columns if c not in columns]
     made = [F.lag(F.col(c), -int(k)).over(near).alias(name) for name, (c, k) in columns.items()]
     return own.select(*kept, "__own", *made).where("__own").drop("__own")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from linewise.operators.asof_join import asof_join
 from linewise.operators.interval_join import interval_join, overlap_counts
-from linewise.operators.ranking import ends, moving, moving_range, neighbours, ranks, tiles
+from linewise.operators.ranking import _with_halos, ends, moving, moving_range, neighbours, ranks, tiles
 
 
 def rows(df):
@@ -185,6 +185,33 @@ def test_neighbours_and_frames_equal_plain_windows(spark, per_bucket, parts):
         assert rows(got) == rows(df.select("*", F.sum("v").over(f), F.max("k").over(f), F.count("v").over(f)))
 
 
+def test_small_partitions_over_the_whole_order_are_not_copied(spark):
+    """Each of 300 keys has a row in every bucket of the order: no halo copies, hence no join."""
+    df = spark.range(3000).select("id", (F.col("id") % 300).alias("g"), (F.col("id") * 7 % 11).alias("v"))
+    w = Window.partitionBy("g").orderBy("id")
+    near = neighbours(df, {"p": ("v", -1), "n": ("v", 2)}, "id", partition_by="g", rows_per_bucket=300)
+    assert rows(near) == rows(df.select("*", F.lag("v", 1).over(w), F.lead("v", 2).over(w)))
+    frame = moving(df, {"s": F.sum("v")}, "id", rows=(-2, 1), partition_by="g", rows_per_bucket=300)
+    assert rows(frame) == rows(df.select("*", F.sum("v").over(w.rowsBetween(-2, 1))))
+    for made in (near, frame):
+        assert "Join" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_partitions_are_cut_beside_small_ones(spark):
+    """A null key and a frequent one pass the limit of a bucket and are cut; copies are theirs alone."""
+    key = F.expr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN -1 ELSE id % 200 END")
+    df = spark.range(1800).select("id", key.alias("g"), (F.col("id") * 7 % 11).alias("v"))
+    w = Window.partitionBy("g").orderBy("id")
+    opts = {"partition_by": "g", "rows_per_bucket": 100}
+    near = neighbours(df, {"p": ("v", -3), "n": ("v", 2)}, "id", **opts)
+    assert rows(near) == rows(df.select("*", F.lag("v", 3).over(w), F.lead("v", 2).over(w)))
+    frame = moving(df, {"s": F.sum("v")}, "id", rows=(-4, 3), **opts)
+    assert rows(frame) == rows(df.select("*", F.sum("v").over(w.rowsBetween(-4, 3))))
+    own, slots = _with_halos(df, ["g"], ["id"], 3, 2, 100, 1 << 18)
+    assert own.where("g IS NULL OR g = -1").groupBy(*slots).count().count() == 12  # of 1,200 rows, 200 to a bucket
+    assert {r.g for r in own.where("NOT __own").select("g").distinct().collect()} == {None, -1}
+
+
 @pytest.mark.parametrize("per_bucket, parts", [(1, ["g"]), (20, [])])
 def test_range_frames_equal_plain_windows(spark, per_bucket, parts):
     df = _table(spark)
