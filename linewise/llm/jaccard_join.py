@@ -44,13 +44,15 @@ from pyspark.sql import functions as F
 
 from linewise.llm import packed
 from linewise.llm.tables import components, forget, stored
-from linewise.llm.text_arrays import mix, PLACE, signed, slices, text_buffer, unsigned, window_hashes, words_of
+from linewise.llm.text_arrays import PIECE, PLACE, mix, signed, slices, text_buffer, unsigned, window_hashes, words_of
 
 #: At most so many frequent tokens are put last in the token order (8 MB; order only).
 MAX_FREQUENT = 1 << 20
 #: Rows at most in the broadcast that keeps texts of other sets out of a shuffle.
 NEAR = 1 << 20
 _BLOCK_TOKENS = 1 << 22
+#: Prefix entries that are packed at once: at 20 bytes each, some 50 MB with the copies made of them.
+_BLOCK_ENTRIES = 1 << 19
 #: Leaders that a set is compared with in a round, and groups and members of a group before all of them.
 ATTEMPTS, FEW = 8, 4
 #: Members of a family that one block of comparisons holds.
@@ -93,14 +95,18 @@ def _measure(batches, n_words: int):
     held, seen, count = [], set(), 0
 
     def frequent():
-        tokens, times = np.unique(np.concatenate(held), return_counts=True)
-        often = times > 1
-        k = int(often.sum())
+        tokens = np.concatenate(held)
+        held.clear()
+        tokens.sort()
+        again = tokens[1:] == tokens[:-1]
+        first = np.flatnonzero(again & ~np.append(False, again[:-1]))
+        last = np.flatnonzero(again & ~np.append(again[1:], False)) + 1
+        k = len(first)
         return pa.record_batch([pa.array(np.ones(k, np.int8)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-                                pa.array(signed(tokens[often])), pa.array(times[often].astype(np.int64))], schema=_SETS)
+                                pa.array(signed(tokens[first])), pa.array(last - first + 1)], schema=_SETS)
 
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", size=PIECE):
             sets = list(shingle_sets(part.column("text"), n_words))
             keys = [_digest(s) if len(s) else None for s in sets]
             yield pa.record_batch([
@@ -136,22 +142,30 @@ _DTYPES = ("u8", "i8", "i4")
 
 
 def _prefixes(batches, n_words: int, num: int, den: int, buckets: int, order):
-    """Packed (token, set, size) entries of the prefixes; a set once in a batch."""
+    """Packed (token, set, size) entries of the prefixes in blocks; a set once in a batch."""
     frequent = _Order(order.value)
+
+    def block():
+        t = np.concatenate(tokens)
+        return packed.to_batch(packed.blocks((mix(t) % np.uint64(buckets)).astype(np.int32),
+                                             [t, np.concatenate(nodes), np.concatenate(sizes)]))
+
     for batch in batches:
-        seen, tokens, nodes, sizes = set(), [], [], []
-        for part in slices(batch, "text"):
+        seen, tokens, nodes, sizes, held = set(), [], [], [], 0
+        for part in slices(batch, "text", size=PIECE):
             for s in shingle_sets(part.column("text"), n_words):
                 if len(s) and (node := _digest(s)) not in seen:
                     seen.add(node)
                     p = prefix_length(len(s), num, den)
-                    tokens.append(frequent(s)[:p])
+                    tokens.append(frequent(s)[:p].copy())
                     nodes.append(np.full(p, node, np.int64))
                     sizes.append(np.full(p, len(s), np.int32))
+                    held += p
+            if held >= _BLOCK_ENTRIES:
+                yield block()
+                tokens, nodes, sizes, held = [], [], [], 0
         if tokens:
-            t = np.concatenate(tokens)
-            yield packed.to_batch(packed.blocks((mix(t) % np.uint64(buckets)).astype(np.int32),
-                                                [t, np.concatenate(nodes), np.concatenate(sizes)]))
+            yield block()
 
 
 def _several(columns) -> pa.RecordBatch:
@@ -171,7 +185,7 @@ def _several(columns) -> pa.RecordBatch:
 
 def _tokens(batches, n_words: int):
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", size=PIECE):
             sets = list(shingle_sets(part.column("text"), n_words))
             yield pa.record_batch([pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
                                    pa.array([signed(s) for s in sets], pa.list_(pa.int64()))], names=["node", "tokens"])

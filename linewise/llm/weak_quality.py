@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewise.llm.text_arrays import PLACE, mix, slices, text_buffer, words_of
+from linewise.llm.text_arrays import PIECE, PLACE, mix, slices, text_buffer, words_of
 
 #: Features of the scorer (hashed).
 DIMENSIONS = 1 << 13
@@ -113,7 +113,7 @@ def _pattern(rows: np.ndarray) -> np.ndarray:
 
 def _patterns(batches):
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", size=PIECE):
             yield pa.record_batch([pa.array(_pattern(votes(word_table(part.column("text")))))], names=["pattern"])
 
 
@@ -146,7 +146,7 @@ def label_model(pattern: np.ndarray, count: np.ndarray, rounds: int = 200) -> tu
 def _examples(batches):
     """pattern, feature indices and values of the sampled texts."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", size=PIECE):
             table = word_table(part.column("text"))
             shape, word = features(table)
             first = table[6]
@@ -218,7 +218,7 @@ def fit_quality(docs: DataFrame, *, text_col: str = "text", sample: int = 6000)
 def _scored(batches, shared):
     model = shared.value
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", size=PIECE):
             table = word_table(part.column("text"))
             given = [model.posterior.get(p, 0.5) for p in _pattern(votes(table)).tolist()]
             score = model.score(table)
@@ -237,7 +237,7 @@ def score_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 def _good(batches, shared, text_col):
     model = shared.value
     for batch in batches:
-        for part in slices(batch, text_col):
+        for part in slices(batch, text_col, size=PIECE):
             yield part.filter(pa.array(model.score(word_table(part.column(text_col))) >= 0.5))
 
 
